@@ -8,11 +8,12 @@ A dense key here takes no such step:
    skip the sort when any order will do;
 2. note each row's place - task number and position in the task - with
    ``monotonically_increasing_id`` and write the table, which freezes the places;
-3. count rows per task, at most one small row per write task, and add up;
-4. key = rows in earlier tasks + position + 1.
+3. count rows per task, and add up: one number per write task, however many rows;
+4. key = rows in earlier tasks + position + 1, an expression completed on reading.
 
 The written table makes the result survive lost executors: nothing is numbered
-twice from a shuffle that may come back in another order.
+twice from a shuffle that may come back in another order. The rows are written once,
+and a reader that does not use the key reads neither the places nor the counts.
 """
 
 from __future__ import annotations
@@ -28,13 +29,27 @@ from signalwatch.storage import fresh_path, save
 _PLACE = "_place"
 _SPLIT = "_split"
 _TASK = "_task"
-_BEFORE = "_before"
+_STARTS = "_starts"
 # monotonically_increasing_id keeps the position in its lower 33 bits
 _POSITION_BITS = 33
 
 
 def _task(place: Column) -> Column:
-    return F.shiftright(place, _POSITION_BITS)
+    return F.shiftright(place, _POSITION_BITS).cast("int")
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """One row: for each write task in turn, how many rows earlier tasks wrote."""
+    counts = rows.groupBy(_task(F.col(_PLACE)).alias(_TASK)).agg(F.count("*").alias("n"))
+    # from here on one row per write task; tasks that wrote nothing are filled in
+    tasks = counts.agg(F.max(_TASK).alias("last")).select(
+        F.explode(F.sequence(F.lit(0), F.col("last"))).alias(_TASK)
+    )
+    earlier = Window.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("long")
+    running = tasks.join(counts, _TASK, "left").select(_TASK, before.alias("before"))
+    ordered = F.array_sort(F.collect_list(F.struct(_TASK, "before")))
+    return running.agg(F.transform(ordered, lambda task: task["before"]).alias(_STARTS))
 
 
 def write_keyed(df: DataFrame, path: str, order_by: Sequence[str] | None = None) -> None:
@@ -50,31 +65,19 @@ def write_keyed(df: DataFrame, path: str, order_by: Sequence[str] | None = None)
     else:
         placed = df
     rows = save(placed.withColumn(_PLACE, F.monotonically_increasing_id()), f"{path}/rows")
-
-    earlier = Window.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy(_task(F.col(_PLACE)).alias(_TASK)).agg(F.count("*").alias("n"))
-    # one row per write task: the ordered window and the broadcast below stay small
-    starts = counts.select(
-        _TASK, F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("long").alias(_BEFORE)
-    )
-    save(starts, f"{path}/starts")
+    save(_starts(rows), f"{path}/starts")
 
 
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType, key: str) -> DataFrame:
     """The rows written by :func:`write_keyed`, led by their dense key ``1..n``."""
-    names = schema.fieldNames()
     stored = T.StructType([*schema.fields, T.StructField(_PLACE, T.LongType())])
-    starts_type = T.StructType([
-        T.StructField(_TASK, T.LongType()), T.StructField(_BEFORE, T.LongType()),
-    ])
+    starts_type = T.StructType([T.StructField(_STARTS, T.ArrayType(T.LongType()))])
     rows = spark.read.schema(stored).parquet(f"{path}/rows")
-    starts = spark.read.schema(starts_type).parquet(f"{path}/starts")
-    position = F.col(_PLACE).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return (
-        rows.withColumn(_TASK, _task(F.col(_PLACE)))
-        .join(F.broadcast(starts), _TASK)
-        .select((F.col(_BEFORE) + position + 1).alias(key), *names)
-    )
+    starts = spark.read.schema(starts_type).parquet(f"{path}/starts").scalar()
+    place = F.col(_PLACE)
+    position = place.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    number = F.get(starts, _task(place)) + position + F.lit(1)
+    return rows.select(number.alias(key), *schema.fieldNames())
 
 
 def dense_key(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:

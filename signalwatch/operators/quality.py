@@ -46,22 +46,33 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
-def quarantine(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Split into conformed rows and rejected raw rows naming their bad columns."""
+def checked(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Each row as ``typed`` values, its ``problems`` and, if it has any, the ``raw`` row."""
     typed = {f.name: _typed(f, df.schema[f.name].dataType, strict=False) for f in schema.fields}
     problems = F.array_compact(F.array(*[
         F.when(F.col(name).isNotNull() & value.isNull(), F.lit(name))
         for name, value in typed.items()
     ]))
-    names = schema.fieldNames()
-    checked = df.select(
-        F.struct(*names).alias("raw"),
+    raw = F.struct(*schema.fieldNames())
+    return df.select(
         F.struct(*[value.alias(name) for name, value in typed.items()]).alias("typed"),
+        F.when(F.size(problems) > 0, raw).alias("raw"),
         problems.alias("problems"),
     )
-    accepted = checked.where(F.size("problems") == 0).select("typed.*")
-    rejected = checked.where(F.size("problems") > 0).select("raw.*", "problems")
-    return accepted, rejected
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    return rows.where(F.size("problems") == 0).select("typed.*")
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    return rows.where(F.size("problems") > 0).select("raw.*", "problems")
+
+
+def quarantine(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Split into conformed rows and rejected raw rows naming their bad columns."""
+    rows = checked(df, schema)
+    return accepted(rows), rejected(rows)
 
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:

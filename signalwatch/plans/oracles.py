@@ -11,6 +11,14 @@ def _r(expression: str, name: str | None = None) -> str:
     return f"round(CAST({expression} AS DOUBLE), 6) + 0.0 AS {name or expression}"
 
 
+def _numeric(expression: str, digits: int) -> str:
+    """Half away from zero on the number as written, as a NUMERIC column stores it.
+
+    ``round`` on a double scales it first, which moves some exact halves.
+    """
+    return f"CAST(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(18,{digits})) AS DOUBLE) + 0.0"
+
+
 def _d(name: str) -> str:
     return f"strftime({name}, '%Y-%m-%d') AS {name}"
 
@@ -84,18 +92,18 @@ activity AS (
 s_trends AS (
   SELECT full_date, category,
          CASE WHEN hi > lo
-              THEN round((CAST(n AS DOUBLE) - lo) / (hi - lo) * CAST(90 AS DOUBLE)
-                         + CAST(5 AS DOUBLE), 2) + 0.0
+              THEN {_numeric("(CAST(n AS DOUBLE) - lo) / (hi - lo) * CAST(90 AS DOUBLE) "
+                             "+ CAST(5 AS DOUBLE)", 2)}
               ELSE CAST(50 AS DOUBLE) END AS search_volume
   FROM (SELECT *, CAST(min(n) OVER (PARTITION BY category) AS DOUBLE) AS lo,
                CAST(max(n) OVER (PARTITION BY category) AS DOUBLE) AS hi FROM activity)),
 s_reviews AS (
-  SELECT category, full_date, round(score, 2) + 0.0 AS average_score,
+  SELECT category, full_date, {_numeric("score", 2)} AS average_score,
          CAST(CASE WHEN n < 1 THEN 1 WHEN n > 2000 THEN 2000 ELSE n END AS BIGINT)
            AS total_comments,
-         round((score - 1) / 4 * 100, 2) + 0.0 AS sentiment_score,
-         round(coalesce(score - lag(score) OVER (PARTITION BY category ORDER BY full_date), 0.0),
-               4) + 0.0 AS review_momentum
+         {_numeric("(score - 1) / 4 * 100", 2)} AS sentiment_score,
+         {_numeric("coalesce(score - lag(score) OVER (PARTITION BY category ORDER BY full_date), "
+                   "0.0)", 4)} AS review_momentum
   FROM (SELECT *, CASE WHEN rating < 1 THEN CAST(1 AS DOUBLE) WHEN rating > 5
                        THEN CAST(5 AS DOUBLE) ELSE rating END AS score FROM activity)),
 d_trend AS (

@@ -36,27 +36,25 @@ def dim_time(orders: DataFrame) -> DataFrame:
     )
 
 
-def dim_product(products: DataFrame) -> DataFrame:
-    named = products.select(
-        "product_id", F.coalesce(CATEGORY, F.lit(UNKNOWN_CATEGORY)).alias(CATEGORY)
-    )
-    return dense_key(named, "product_sk", ["product_id"])
+# Rows of a keyed table, and the columns its key follows.
+Rows = tuple[DataFrame, list[str]]
 
 
-def dim_customer(customers: DataFrame) -> DataFrame:
-    return dense_key(
-        customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state"),
-        "customer_sk", ["customer_id"],
-    )
+def product_rows(products: DataFrame) -> Rows:
+    category = F.coalesce(CATEGORY, F.lit(UNKNOWN_CATEGORY)).alias(CATEGORY)
+    return products.select("product_id", category), ["product_id"]
 
 
-def dim_seller(sellers: DataFrame) -> DataFrame:
-    return dense_key(
-        sellers.select("seller_id", "seller_city", "seller_state"), "seller_sk", ["seller_id"]
-    )
+def customer_rows(customers: DataFrame) -> Rows:
+    columns = ["customer_id", "customer_unique_id", "customer_city", "customer_state"]
+    return customers.select(*columns), ["customer_id"]
 
 
-def dim_trend(trends: DataFrame, time: DataFrame) -> DataFrame:
+def seller_rows(sellers: DataFrame) -> Rows:
+    return sellers.select("seller_id", "seller_city", "seller_state"), ["seller_id"]
+
+
+def trend_rows(trends: DataFrame, time: DataFrame) -> Rows:
     """Search volume with the two values before it, on days with an order.
 
     Days without an order are dropped first, so "before" counts the days kept.
@@ -68,15 +66,40 @@ def dim_trend(trends: DataFrame, time: DataFrame) -> DataFrame:
         previous(F.col("search_volume"), window, 2).alias("search_lead_2"),
         "full_date",
     )
-    return dense_key(dated, "trend_sk", ["full_date", CATEGORY])
+    return dated, ["full_date", CATEGORY]
 
 
-def dim_review(reviews: DataFrame, time: DataFrame) -> DataFrame:
+def review_rows(reviews: DataFrame, time: DataFrame) -> Rows:
     dated = reviews.join(time.select("full_date", "time_sk"), "full_date").select(
         "time_sk", CATEGORY, "average_score", "total_comments", "sentiment_score",
         "review_momentum", "full_date",
     )
-    return dense_key(dated, "review_sk", ["full_date", CATEGORY])
+    return dated, ["full_date", CATEGORY]
+
+
+def dim_product(products: DataFrame) -> DataFrame:
+    rows, order = product_rows(products)
+    return dense_key(rows, "product_sk", order)
+
+
+def dim_customer(customers: DataFrame) -> DataFrame:
+    rows, order = customer_rows(customers)
+    return dense_key(rows, "customer_sk", order)
+
+
+def dim_seller(sellers: DataFrame) -> DataFrame:
+    rows, order = seller_rows(sellers)
+    return dense_key(rows, "seller_sk", order)
+
+
+def dim_trend(trends: DataFrame, time: DataFrame) -> DataFrame:
+    rows, order = trend_rows(trends, time)
+    return dense_key(rows, "trend_sk", order)
+
+
+def dim_review(reviews: DataFrame, time: DataFrame) -> DataFrame:
+    rows, order = review_rows(reviews, time)
+    return dense_key(rows, "review_sk", order)
 
 
 def sales_rows(items: DataFrame, orders: DataFrame, time: DataFrame, product: DataFrame,
@@ -115,20 +138,22 @@ def item_signals(fact: DataFrame, product: DataFrame, time: DataFrame, trend: Da
                  review: DataFrame) -> DataFrame:
     """Every sold item with its category, month and the signals of its day.
 
-    Signals a category and day lacks take their defaults.
+    Signals a category and day lacks take their defaults. The two signals meet on their
+    day rows first: the items then pass a single join on category and day, which adaptive
+    execution may split where one category and day holds a large share of the items.
     """
     def signal(name: str):
         value = F.col(name).cast("double")
         return F.coalesce(value, F.lit(SIGNAL_DEFAULTS[name])).alias(name)
 
     on = ["time_sk", CATEGORY]
+    searches = trend.select(*on, "search_volume", "search_lead_1", "search_lead_2")
+    ratings = review.select(*on, "sentiment_score", "review_momentum", "average_score")
     return (
         fact.select("time_sk", "product_sk", "price")
         .join(product.select("product_sk", CATEGORY), "product_sk")
         .join(time.select("time_sk", "month", "quarter"), "time_sk")
-        .join(trend.select(*on, "search_volume", "search_lead_1", "search_lead_2"), on, "left")
-        .join(review.select(*on, "sentiment_score", "review_momentum", "average_score"), on,
-              "left")
+        .join(searches.join(ratings, on, "full"), on, "left")
         .select("time_sk", F.col("price").cast("double").alias("price"), CATEGORY, "month",
                 "quarter", *[signal(name) for name in SIGNAL_DEFAULTS])
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from signalwatch.constants import DELIVERED
@@ -39,31 +41,46 @@ class Warehouse(dict):
 
 
 def build(spark: SparkSession, staging: Mapping[str, DataFrame], path: str,
-          delivered: str = DELIVERED) -> Warehouse:
+          delivered: str = DELIVERED, parallel: int = 4) -> Warehouse:
     """Drop and recreate all star schema tables under ``path``.
 
-    Dimensions are written with their keys, so that their stored size tells Spark
-    whether a join may broadcast them. The fact, by far the largest table, is written
-    once, as numbered rows; its key is completed on reading.
+    Each table is written once. Tables that do not need each other are built side by
+    side, so a small dimension does not leave the cluster idle.
     """
-    def create(name: str, df: DataFrame) -> DataFrame:
+    def stored(name: str, df: DataFrame) -> DataFrame:
         return save(df, f"{path}/{name}")
 
+    def keyed(name: str, df: DataFrame, order_by: list[str] | None) -> DataFrame:
+        write_keyed(df, f"{path}/{name}", order_by)
+        return read_keyed(spark, f"{path}/{name}", df.schema, PRIMARY_KEYS[name])
+
     made = Warehouse()
-    made["staging_trends"] = create("staging_trends", staging["trends"])
-    made["staging_reviews"] = create("staging_reviews", staging["reviews"])
-    time = made["dim_time"] = create("dim_time", star.dim_time(staging["orders"]))
-    product = made["dim_product"] = create("dim_product", star.dim_product(staging["products"]))
-    made["dim_customer"] = create("dim_customer", star.dim_customer(staging["customers"]))
-    made["dim_seller"] = create("dim_seller", star.dim_seller(staging["sellers"]))
-    made["dim_trend"] = create("dim_trend", star.dim_trend(made["staging_trends"], time))
-    made["dim_review"] = create("dim_review", star.dim_review(made["staging_reviews"], time))
-
-    sales = star.sales_rows(staging["order_items"], staging["orders"], time, product,
-                            made["dim_customer"], made["dim_seller"], delivered)
-    write_keyed(sales, f"{path}/fact_sales")
-    made["fact_sales"] = read_keyed(spark, f"{path}/fact_sales", sales.schema, "sales_sk")
-    made["category_codes"] = create(
+
+    def together(steps: dict[str, Callable[[], DataFrame]]) -> None:
+        run = inheritable_thread_target(spark)(lambda step: step())
+        with ThreadPool(parallel) as pool:
+            made.update(zip(steps, pool.map(run, steps.values())))
+
+    together({
+        "dim_time": lambda: stored("dim_time", star.dim_time(staging["orders"])),
+        "dim_product": lambda: keyed("dim_product", *star.product_rows(staging["products"])),
+        "dim_customer": lambda: keyed("dim_customer", *star.customer_rows(staging["customers"])),
+        "dim_seller": lambda: keyed("dim_seller", *star.seller_rows(staging["sellers"])),
+        "staging_trends": lambda: stored("staging_trends", staging["trends"]),
+        "staging_reviews": lambda: stored("staging_reviews", staging["reviews"]),
+    })
+    time, product = made["dim_time"], made["dim_product"]
+    together({
+        "fact_sales": lambda: keyed("fact_sales", star.sales_rows(
+            staging["order_items"], staging["orders"], time, product, made["dim_customer"],
+            made["dim_seller"], delivered,
+        ), None),
+        "dim_trend": lambda: keyed("dim_trend", *star.trend_rows(made["staging_trends"], time)),
+        "dim_review": lambda: keyed(
+            "dim_review", *star.review_rows(made["staging_reviews"], time)
+        ),
+    })
+    made["category_codes"] = stored(
         "category_codes", category_codes(daily_sales(made["fact_sales"], product))
     )
     return made

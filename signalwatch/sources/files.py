@@ -56,6 +56,11 @@ def scan_csv(spark: SparkSession, path: str, columns: Sequence[str],
     ])
 
 
+def csv_columns(spark: SparkSession, path: str) -> list[str]:
+    """The column names in the header of a plain CSV file."""
+    return spark.read.options(header=True, escape='"').csv(path).columns
+
+
 def scan_zipped_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """The named columns of the CSV files in zip archives, as text.
 

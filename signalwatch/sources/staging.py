@@ -7,10 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from signalwatch.operators.quality import conform, quarantine
+from signalwatch.operators.quality import accepted, checked, conform, rejected
 from signalwatch.schemas import STAGING
 from signalwatch.sources.files import scan_csv, scan_json
-from signalwatch.storage import save
+from signalwatch.storage import save, settle
 
 SOURCE_FILES = {
     "orders": "orders.csv",
@@ -51,8 +51,10 @@ def stage(spark: SparkSession, folder: str, target: str,
         if strict:
             good = conform(raw, STAGING[table])
         else:
-            good, bad = quarantine(raw, STAGING[table])
-            save(bad, f"{target}/rejected/{table}")
+            # stored once, so that the files are read and parsed once for both parts
+            rows = settle(checked(raw, STAGING[table]), f"checked-{table}")
+            save(rejected(rows), f"{target}/rejected/{table}")
+            good = accepted(rows)
         tables[table] = save(good, f"{target}/{table}")
     return tables
 
