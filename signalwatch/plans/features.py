@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalwatch import constants as C
@@ -22,30 +22,31 @@ def category_codes(daily: DataFrame) -> DataFrame:
     return coded.select(CATEGORY, (F.col("category_code") - 1).cast("int").alias("category_code"))
 
 
-def with_trend(daily: DataFrame) -> DataFrame:
+def with_trend(daily: DataFrame, **more: Column) -> DataFrame:
     """Moving average, growth, acceleration and previous volume of each series.
 
-    Growth is 0 on a first row before acceleration takes differences of it.
+    Growth is 0 on a first row before acceleration takes differences of it. ``more``
+    columns over the same series are added in the same pass.
     """
     window = series.by_time()
     volume = F.col("sales_volume")
-    return (
-        daily.withColumn("moving_avg_3", series.moving_average(volume, window, 3))
-        .withColumn("growth_rate", series.growth(F.col("moving_avg_3"), window))
-        .withColumn("acceleration", series.step(F.col("growth_rate"), window))
-        .withColumn("lag_1", series.previous_or_zero(volume, window))
-    )
+    averaged = daily.withColumns({
+        "moving_avg_3": series.moving_average(volume, window, 3),
+        "lag_1": series.previous_or_zero(volume, window),
+        **more,
+    })
+    grown = averaged.withColumn("growth_rate", series.growth(F.col("moving_avg_3"), window))
+    return grown.withColumn("acceleration", series.step(F.col("growth_rate"), window))
 
 
 def _finished(df: DataFrame, weights: dict[str, float], codes: DataFrame) -> DataFrame:
     sine, cosine = season(F.col("month"))
-    return (
-        df.withColumn("season_sin", sine)
-        .withColumn("season_cos", cosine)
-        .withColumn("emergence_score", emergence_score(weights))
-        .withColumn("trend_phase", trend_phase(F.col("growth_rate"), F.col("acceleration")))
-        .join(codes, CATEGORY)
-    )
+    return df.withColumns({
+        "season_sin": sine,
+        "season_cos": cosine,
+        "emergence_score": emergence_score(weights),
+        "trend_phase": trend_phase(F.col("growth_rate"), F.col("acceleration")),
+    }).join(codes, CATEGORY)
 
 
 def daily_features(fact: DataFrame, product: DataFrame, time: DataFrame, trend: DataFrame,
@@ -53,10 +54,8 @@ def daily_features(fact: DataFrame, product: DataFrame, time: DataFrame, trend:
     """All features, with search and review signals."""
     daily = with_signals(daily_sales(fact, product), trend, review)
     dated = daily.join(time.select("time_sk", "month", "quarter"), "time_sk")
-    moved = with_trend(dated).withColumn(
-        "search_momentum", series.growth(F.col("search_volume"), series.by_time())
-    )
-    return _finished(moved, C.EMERGENCE_WEIGHTS, codes)
+    momentum = series.growth(F.col("search_volume"), series.by_time())
+    return _finished(with_trend(dated, search_momentum=momentum), C.EMERGENCE_WEIGHTS, codes)
 
 
 def join_search(daily: DataFrame, trends: DataFrame) -> DataFrame:
@@ -84,14 +83,14 @@ def daily_features_standalone(fact: DataFrame, product: DataFrame, trends: DataF
     """
     window = series.by_time()
     search = F.col("search_volume")
-    joined = join_search(with_trend(daily_sales(fact, product)), trends)
     month = period_month(F.col("time_sk"))
-    moved = (
-        joined.withColumn("search_lead_1", series.previous_or_current(search, window, 1))
-        .withColumn("search_lead_2", series.previous_or_current(search, window, 2))
-        .withColumn("search_momentum", series.growth(search, window))
-        .withColumn("month", month)
-        .withColumn("quarter", period_quarter(F.col("month")))
+    moved = with_trend(
+        join_search(daily_sales(fact, product), trends),
+        search_lead_1=series.previous_or_current(search, window, 1),
+        search_lead_2=series.previous_or_current(search, window, 2),
+        search_momentum=series.growth(search, window),
+        month=month,
+        quarter=period_quarter(month),
     )
     return _finished(moved, C.EMERGENCE_WEIGHTS_STANDALONE, codes)
 

@@ -16,6 +16,7 @@ from signalwatch.functions.dates import calendar
 from signalwatch.operators.keys import dense_key
 from signalwatch.operators.series import by_time, previous
 from signalwatch.schemas import CATEGORY
+from signalwatch.storage import settle
 
 
 def dim_time(orders: DataFrame) -> DataFrame:
@@ -139,8 +140,9 @@ def item_signals(fact: DataFrame, product: DataFrame, time: DataFrame, trend: Da
     """Every sold item with its category, month and the signals of its day.
 
     Signals a category and day lacks take their defaults. The two signals meet on their
-    day rows first: the items then pass a single join on category and day, which adaptive
-    execution may split where one category and day holds a large share of the items.
+    day rows first and are stored, so that the items pass a single join on category and
+    day. From the stored size Spark knows whether the items need no shuffle at all; if
+    they do, adaptive execution may split a category and day with a large share of them.
     """
     def signal(name: str):
         value = F.col(name).cast("double")
@@ -153,7 +155,7 @@ def item_signals(fact: DataFrame, product: DataFrame, time: DataFrame, trend: Da
         fact.select("time_sk", "product_sk", "price")
         .join(product.select("product_sk", CATEGORY), "product_sk")
         .join(time.select("time_sk", "month", "quarter"), "time_sk")
-        .join(searches.join(ratings, on, "full"), on, "left")
+        .join(settle(searches.join(ratings, on, "full"), "day_signals"), on, "left")
         .select("time_sk", F.col("price").cast("double").alias("price"), CATEGORY, "month",
                 "quarter", *[signal(name) for name in SIGNAL_DEFAULTS])
     )
