@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalwatch import constants as C
@@ -22,19 +22,15 @@ def category_codes(daily: DataFrame) -> DataFrame:
     return coded.select(CATEGORY, (F.col("category_code") - 1).cast("int").alias("category_code"))
 
 
-def with_trend(daily: DataFrame, **more: Column) -> DataFrame:
-    """Moving average, growth, acceleration and previous volume of each series.
+def with_trend(daily: DataFrame) -> DataFrame:
+    """Moving average, growth and acceleration of each series.
 
-    Growth is 0 on a first row before acceleration takes differences of it. ``more``
-    columns over the same series are added in the same pass.
+    Growth is 0 on a first row before acceleration takes differences of it.
     """
     window = series.by_time()
-    volume = F.col("sales_volume")
-    averaged = daily.withColumns({
-        "moving_avg_3": series.moving_average(volume, window, 3),
-        "lag_1": series.previous_or_zero(volume, window),
-        **more,
-    })
+    averaged = daily.withColumn(
+        "moving_avg_3", series.moving_average(F.col("sales_volume"), window, 3)
+    )
     grown = averaged.withColumn("growth_rate", series.growth(F.col("moving_avg_3"), window))
     return grown.withColumn("acceleration", series.step(F.col("growth_rate"), window))
 
@@ -54,8 +50,12 @@ def daily_features(fact: DataFrame, product: DataFrame, time: DataFrame, trend:
     """All features, with search and review signals."""
     daily = with_signals(daily_sales(fact, product), trend, review)
     dated = daily.join(time.select("time_sk", "month", "quarter"), "time_sk")
-    momentum = series.growth(F.col("search_volume"), series.by_time())
-    return _finished(with_trend(dated, search_momentum=momentum), C.EMERGENCE_WEIGHTS, codes)
+    window = series.by_time()
+    moved = with_trend(dated).withColumns({
+        "lag_1": series.previous_or_zero(F.col("sales_volume"), window),
+        "search_momentum": series.growth(F.col("search_volume"), window),
+    })
+    return _finished(moved, C.EMERGENCE_WEIGHTS, codes)
 
 
 def join_search(daily: DataFrame, trends: DataFrame) -> DataFrame:
@@ -79,19 +79,22 @@ def daily_features_standalone(fact: DataFrame, product: DataFrame, trends: DataF
     """Features from sales and a search file alone.
 
     Differences: lagged searches count sales days and start from the current value,
-    the month is guessed from the day number, there are no review signals.
+    the month is guessed from the day number, there are no review signals. Trends are
+    taken before the search file is joined, lags after: a period listed twice in the
+    file gives two rows, but does not count as a day of its own in the averages.
     """
     window = series.by_time()
     search = F.col("search_volume")
     month = period_month(F.col("time_sk"))
-    moved = with_trend(
-        join_search(daily_sales(fact, product), trends),
-        search_lead_1=series.previous_or_current(search, window, 1),
-        search_lead_2=series.previous_or_current(search, window, 2),
-        search_momentum=series.growth(search, window),
-        month=month,
-        quarter=period_quarter(month),
-    )
+    joined = join_search(with_trend(daily_sales(fact, product)), trends)
+    moved = joined.withColumns({
+        "search_lead_1": series.previous_or_current(search, window, 1),
+        "search_lead_2": series.previous_or_current(search, window, 2),
+        "search_momentum": series.growth(search, window),
+        "lag_1": series.previous_or_zero(F.col("sales_volume"), window),
+        "month": month,
+        "quarter": period_quarter(month),
+    })
     return _finished(moved, C.EMERGENCE_WEIGHTS_STANDALONE, codes)
 
 

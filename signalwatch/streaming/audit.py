@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from signalwatch.operators.audit import audit_rows, numbered_log
+from signalwatch.operators.audit import audit_monitor, audit_rows, numbered_log
 from signalwatch.schemas import AUDIT_LOG, FACT_SALES
 
 
@@ -58,3 +58,8 @@ def read_log(spark: SparkSession, log: str) -> DataFrame:
 
 def read_numbered_log(spark: SparkSession, log: str) -> DataFrame:
     return numbered_log(read_log(spark, log))
+
+
+def register_monitor(spark: SparkSession, log: str, view: str = "audit_monitor") -> None:
+    """Create or replace the view that summarises the log."""
+    audit_monitor(read_log(spark, log)).createOrReplaceTempView(view)

@@ -40,6 +40,8 @@ def test_each_insert_is_logged_once(spark, tmp_path):
         ("fact_sales", "INSERT", 107)
     ]
     assert monitor[0].last_operation == max(r.created_at for r in entries)
+    audit.register_monitor(spark, log)
+    assert spark.sql("SELECT total_operations FROM audit_monitor").first()[0] == 107
 
 
 def test_a_long_backlog_is_read_in_bounded_batches(spark, tmp_path):

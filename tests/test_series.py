@@ -33,7 +33,9 @@ def test_trend_features_count_rows_not_days(spark):
     got = [
         (r.time_sk, round(r.moving_avg_3, 6), round(r.growth_rate, 6), round(r.acceleration, 6),
          r.lag_1, r.phase)
-        for r in with_trend(df).withColumn("phase", phase).orderBy("time_sk").collect()
+        for r in with_trend(df).withColumn("phase", phase).withColumn(
+            "lag_1", series.previous_or_zero(F.col("sales_volume"), series.by_time())
+        ).orderBy("time_sk").collect()
     ]
     assert got == [
         (1, 2.0, 0.0, 0.0, 0, "decline"),
@@ -50,8 +52,8 @@ def test_series_of_categories_do_not_mix(spark):
         [("a", 1, 2), ("b", 2, 8), ("a", 3, 4), ("b", 4, 8)],
         f"{CATEGORY} string, time_sk long, sales_volume long",
     )
-    got = {(r[CATEGORY], r.time_sk): r.lag_1 for r in with_trend(df).collect()}
-    assert got == {("a", 1): 0, ("b", 2): 0, ("a", 3): 2, ("b", 4): 8}
+    got = {(r[CATEGORY], r.time_sk): r.moving_avg_3 for r in with_trend(df).collect()}
+    assert got == {("a", 1): 2, ("b", 2): 8, ("a", 3): 3, ("b", 4): 8}
 
 
 def test_lags(spark):
