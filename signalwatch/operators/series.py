@@ -1,8 +1,9 @@
 """Functions over one category's daily series.
 
-All windows are partitioned by category and run on day-level tables, so a window
-holds at most one row per calendar day: item-level rows are never windowed, and a
-category with a third of all sales is no larger here than any other.
+All windows are partitioned by category and run on day-level tables: item-level rows
+are never windowed, and a category with a third of all sales is no larger here than any
+other. A window is bounded by the calendar; where a signal may list a day more than once,
+equal rows are reduced to three before (see :mod:`signalwatch.operators.copies`).
 
 Frames count rows, not days: days without sales are skipped, not filled with 0.
 """
@@ -16,8 +17,9 @@ from signalwatch.functions.numeric import relative_change, rescale
 from signalwatch.schemas import CATEGORY
 
 
-def by_time(order: str = "time_sk", group: str = CATEGORY) -> WindowSpec:
-    return Window.partitionBy(group).orderBy(order)
+def by_time(*order: str, group: str = CATEGORY) -> WindowSpec:
+    """A category's rows in time, by default by day number."""
+    return Window.partitionBy(group).orderBy(*(order or ("time_sk",)))
 
 
 def _last(window: WindowSpec, rows: int) -> WindowSpec:
@@ -67,8 +69,11 @@ def progress(window: WindowSpec) -> Column:
     return F.percent_rank().over(window)
 
 
-def group_mean(value: Column, group: str = CATEGORY) -> Column:
-    return F.avg(value).over(Window.partitionBy(group))
+def group_mean(value: Column, weight: Column, group: str = CATEGORY) -> Column:
+    """The category's mean on each of its rows, a row counting ``weight`` times."""
+    whole = Window.partitionBy(group)
+    known = F.sum(F.when(value.isNotNull(), weight)).over(whole)
+    return F.try_divide(F.sum(value * weight).over(whole), known)
 
 
 def spread_5_95(value: Column, group: str = CATEGORY) -> Column:

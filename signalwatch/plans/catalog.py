@@ -13,6 +13,7 @@ from signalwatch.functions.dates import calendar, iso_text
 from signalwatch.functions.numeric import rounded
 from signalwatch.functions.scoring import profile_of
 from signalwatch.operators import alerts, audit, metrics, quality, series, signals, splits
+from signalwatch.operators.copies import all_copies
 from signalwatch.operators.daily import daily_sales
 from signalwatch.operators.keys import check_key, dense_key
 from signalwatch.plans import features, models, reports, star
@@ -305,7 +306,7 @@ def trend_join_avg(spark, folder):
     """Daily sales with the category's mean search volume, for a file without periods."""
     w = warehouse(spark, folder)
     daily = daily_sales(w["fact_sales"], w["dim_product"])
-    return shown(features.join_search(daily, w["staging_trends"]))
+    return shown(all_copies(features.join_search(daily, w["staging_trends"])))
 
 
 def category_codes(spark, folder):

@@ -10,6 +10,7 @@ from signalwatch.functions.dates import period_month, period_quarter
 from signalwatch.functions.numeric import season
 from signalwatch.functions.scoring import emergence_score, trend_phase
 from signalwatch.operators import series
+from signalwatch.operators.copies import COPIES, COPY, all_copies, few_copies
 from signalwatch.operators.daily import DAY, daily_sales, with_signals
 from signalwatch.operators.keys import dense_key
 from signalwatch.schemas import CATEGORY
@@ -61,17 +62,23 @@ def daily_features(fact: DataFrame, product: DataFrame, time: DataFrame, trend:
 def join_search(daily: DataFrame, trends: DataFrame) -> DataFrame:
     """Add the search volume: by period if the signal names periods, else by category.
 
-    A period without a value takes the category's mean over its sales days.
+    A period without a value takes the category's mean over its sales days. A period
+    listed more than once gives as many rows, carried as ``copies``.
     """
     volume = F.col("search_volume").cast("double").alias("search_volume")
     if "time_sk" in trends.columns:
-        joined = daily.join(trends.select(*DAY, volume), DAY, "left")
-        filled = F.coalesce("search_volume", series.group_mean(F.col("search_volume")))
-        return joined.withColumn("search_volume", filled)
+        joined = daily.join(few_copies(trends.select(*DAY, volume)), DAY, "left")
+        weight = F.coalesce(COPIES, F.lit(1).cast("long"))
+        search = F.col("search_volume")
+        return joined.withColumns({
+            "search_volume": F.coalesce(search, series.group_mean(search, weight)),
+            COPY: F.coalesce(COPY, F.lit(1)), COPIES: weight,
+        })
     means = trends.select(CATEGORY, volume).groupBy(CATEGORY).agg(
         F.avg("search_volume").alias("search_volume")
     )
-    return daily.join(means, CATEGORY, "left")
+    once = F.lit(1).cast("long")
+    return daily.join(means, CATEGORY, "left").withColumns({COPY: F.lit(1), COPIES: once})
 
 
 def daily_features_standalone(fact: DataFrame, product: DataFrame, trends: DataFrame,
@@ -83,7 +90,7 @@ def daily_features_standalone(fact: DataFrame, product: DataFrame, trends: DataF
     taken before the search file is joined, lags after: a period listed twice in the
     file gives two rows, but does not count as a day of its own in the averages.
     """
-    window = series.by_time()
+    window = series.by_time("time_sk", "search_volume", COPY)
     search = F.col("search_volume")
     month = period_month(F.col("time_sk"))
     joined = join_search(with_trend(daily_sales(fact, product)), trends)
@@ -95,7 +102,7 @@ def daily_features_standalone(fact: DataFrame, product: DataFrame, trends: DataF
         "month": month,
         "quarter": period_quarter(month),
     })
-    return _finished(moved, C.EMERGENCE_WEIGHTS_STANDALONE, codes)
+    return _finished(all_copies(moved), C.EMERGENCE_WEIGHTS_STANDALONE, codes)
 
 
 def model_rows(features: DataFrame, names: tuple[str, ...] = C.FEATURES,

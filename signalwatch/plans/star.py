@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from signalwatch.constants import DELIVERED, SIGNAL_DEFAULTS, UNKNOWN_CATEGORY
 from signalwatch.functions.dates import calendar
+from signalwatch.operators.copies import COPIES, COPY, all_copies, counted, few_copies
 from signalwatch.operators.keys import dense_key
 from signalwatch.operators.series import by_time, previous
 from signalwatch.schemas import CATEGORY
@@ -60,14 +61,15 @@ def trend_rows(trends: DataFrame, time: DataFrame) -> Rows:
 
     Days without an order are dropped first, so "before" counts the days kept.
     """
-    window = by_time("full_date")
-    dated = trends.join(time.select("full_date", "time_sk"), "full_date").select(
+    window = by_time("full_date", "search_volume", COPY)
+    listed = few_copies(trends.select("full_date", CATEGORY, "search_volume"))
+    dated = listed.join(time.select("full_date", "time_sk"), "full_date").select(
         "time_sk", CATEGORY, "search_volume",
         previous(F.col("search_volume"), window, 1).alias("search_lead_1"),
         previous(F.col("search_volume"), window, 2).alias("search_lead_2"),
-        "full_date",
+        "full_date", COPIES,
     )
-    return dated, ["full_date", CATEGORY]
+    return all_copies(dated), ["full_date", CATEGORY]
 
 
 def review_rows(reviews: DataFrame, time: DataFrame) -> Rows:
@@ -143,19 +145,26 @@ def item_signals(fact: DataFrame, product: DataFrame, time: DataFrame, trend: Da
     day rows first and are stored, so that the items pass a single join on category and
     day. From the stored size Spark knows whether the items need no shuffle at all; if
     they do, adaptive execution may split a category and day with a large share of them.
+    An item of a day with several signal rows is repeated for each of them.
     """
     def signal(name: str):
         value = F.col(name).cast("double")
         return F.coalesce(value, F.lit(SIGNAL_DEFAULTS[name])).alias(name)
 
     on = ["time_sk", CATEGORY]
-    searches = trend.select(*on, "search_volume", "search_lead_1", "search_lead_2")
-    ratings = review.select(*on, "sentiment_score", "review_momentum", "average_score")
-    return (
+    searches = counted(trend.select(*on, "search_volume", "search_lead_1", "search_lead_2"))
+    ratings = counted(review.select(*on, "sentiment_score", "review_momentum", "average_score"))
+    times = F.coalesce(searches[COPIES], F.lit(1)) * F.coalesce(ratings[COPIES], F.lit(1))
+    signals = searches.join(ratings, on, "full").select(
+        *on, *SIGNAL_DEFAULTS, times.alias(COPIES)
+    )
+    items = (
         fact.select("time_sk", "product_sk", "price")
         .join(product.select("product_sk", CATEGORY), "product_sk")
         .join(time.select("time_sk", "month", "quarter"), "time_sk")
-        .join(settle(searches.join(ratings, on, "full"), "day_signals"), on, "left")
+        .join(settle(signals, "day_signals"), on, "left")
         .select("time_sk", F.col("price").cast("double").alias("price"), CATEGORY, "month",
-                "quarter", *[signal(name) for name in SIGNAL_DEFAULTS])
+                "quarter", *[signal(name) for name in SIGNAL_DEFAULTS],
+                F.coalesce(COPIES, F.lit(1).cast("long")).alias(COPIES))
     )
+    return all_copies(items, spread=False)
