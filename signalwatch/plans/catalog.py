@@ -112,7 +112,7 @@ def _evaluation(spark: SparkSession, folder: str) -> models.Evaluation:
     place = (spark.sparkContext.applicationId, folder)
     if place not in _evaluated:
         _evaluated[place] = models.evaluate(
-            _daily_features(spark, folder), models=QUERY_MODELS, parallel=4
+            _daily_features(spark, folder), models=QUERY_MODELS
         )
     return _evaluated[place]
 

@@ -22,6 +22,8 @@ from signalwatch.plans.features import model_rows
 # Statistics of this many MB of tree nodes are gathered per pass over the rows: deep
 # forests take fewer passes than with Spark's default of 256.
 _NODE_MB = 1024
+# rows per partition of the training rows
+_LEAST_ROWS, _MOST_ROWS = 20_000, 100_000
 
 
 def random_forest(trees: int = 300, depth: int = 15, leaf_rows: int = 1,
@@ -51,18 +53,19 @@ def default_models() -> dict[str, Callable]:
     return {"random_forest": random_forest, "boosted_trees": boosted_trees}
 
 
-def assembled(ordered: DataFrame, names: Sequence[str]) -> DataFrame:
+def assembled(ordered: DataFrame, names: Sequence[str], n_rows: int) -> DataFrame:
     """Position, label and feature vector of each row.
 
-    The rows are spread over all cores in a fixed order: every pass of every fit uses
-    them all, and row sampling repeats from run to run.
+    The rows are spread evenly and in a fixed order, over all cores if there are enough
+    of them, so that row sampling repeats from run to run.
     """
-    vector = VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="skip")
+    vector = VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="error")
     rows = vector.transform(ordered.withColumn(C.LABEL, F.col(C.LABEL).cast("double")))
-    spread = rows.sparkSession.sparkContext.defaultParallelism
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = min(max(cores, n_rows // _MOST_ROWS), n_rows // _LEAST_ROWS + 1)
     return (
         rows.select(POSITION, C.LABEL, "features")
-        .repartition(spread, POSITION)
+        .repartition(parts, POSITION)
         .sortWithinPartitions(POSITION)
     )
 
@@ -85,7 +88,7 @@ def _score(model: Model, rows: DataFrame) -> tuple[float, float]:
 
 def evaluate(features: DataFrame, names: Sequence[str] = C.FEATURES,
              models: dict[str, Callable] | None = None, folds: int = C.FOLDS,
-             select_by: str = "r2", parallel: int = 4) -> Evaluation:
+             select_by: str = "r2", parallel: int = 8) -> Evaluation:
     """Fit each model on the first 80 % of the rows and on every fold's past.
 
     The numbered rows are stored once; a fold is a filter on the position, not a copy.
@@ -94,9 +97,9 @@ def evaluate(features: DataFrame, names: Sequence[str] = C.FEATURES,
     """
     spark = features.sparkSession
     ordered = in_time_order(model_rows(features, tuple(names)))
-    rows = assembled(ordered, names).persist()
+    n_rows = ordered.count()
+    rows = assembled(ordered, names, n_rows).persist()
     try:
-        n_rows = rows.count()
         cut = int(n_rows * C.TRAIN_SHARE)
         position = F.col(POSITION)
         ranges = {"holdout": (cut, n_rows)}
