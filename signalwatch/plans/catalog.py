@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalwatch import constants as C
-from signalwatch.functions.dates import calendar, iso_text
-from signalwatch.functions.numeric import rounded
+from signalwatch.functions.dates import calendar
 from signalwatch.functions.scoring import profile_of
 from signalwatch.operators import alerts, audit, metrics, quality, series, signals, splits
 from signalwatch.operators.copies import all_copies
@@ -55,19 +54,15 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
 
 def shown(df: DataFrame) -> DataFrame:
     """Plain result columns: dates as text, decimals as doubles, doubles to 6 digits."""
-    def plain(field: T.StructField):
-        value = F.col(field.name)
-        if isinstance(field.dataType, T.DateType):
-            value = iso_text(value)
-        elif isinstance(field.dataType, T.DecimalType):
-            value = value.cast("double") + F.lit(0.0)
-        elif isinstance(field.dataType, T.DoubleType):
-            value = rounded(value, 6)
-        elif isinstance(field.dataType, T.IntegerType):
-            value = value.cast("long")
-        return value.alias(field.name)
-
-    return df.select(*[plain(field) for field in df.schema.fields])
+    plain = {
+        "date": "date_format({0}, 'yyyy-MM-dd') AS {0}",
+        "decimal": "CAST({0} AS DOUBLE) + 0D AS {0}",
+        "double": "round({0}, 6) + 0D AS {0}",
+        "int": "CAST({0} AS BIGINT) AS {0}",
+    }
+    return df.selectExpr(*[
+        plain.get(kind.split("(")[0], "{0}").format(f"`{name}`") for name, kind in df.dtypes
+    ])
 
 
 # --- features shared by several queries ----------------------------------------------
@@ -490,9 +485,15 @@ def csv_roundtrip(spark, folder):
 
 
 def json_roundtrip(spark, folder):
+    """Review records with day number and profile written to JSON, and read back."""
+    w = warehouse(spark, folder)
     place = f"{fresh_path(spark, 'json')}/reviews.jsonl"
-    files.write_json(warehouse(spark, folder)["staging_reviews"], place)
-    return shown(files.scan_json(spark, place, STAGING["reviews"], array=False))
+    records = w["staging_reviews"].join(w["dim_time"].select("full_date", "time_sk"), "full_date")
+    profile = profile_of(F.col(CATEGORY), TABLE_PROFILES)
+    files.write_json(records.withColumn("profile", profile), place)
+    schema = T.StructType([*STAGING["reviews"].fields]).add("time_sk", T.LongType()).add(
+        "profile", T.StringType())
+    return shown(files.scan_json(spark, place, schema, array=False))
 
 
 def zip_csv_scan(spark, folder):

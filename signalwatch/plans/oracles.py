@@ -402,7 +402,8 @@ _SELECTS = {
     "audit_monitor": "SELECT 'fact_sales' AS table_name, 'INSERT' AS operation, "
                      "count(*) AS total_operations FROM fact",
     "csv_roundtrip": f"SELECT {_d('full_date')}, {_CATEGORY}, search_volume FROM d_trend",
-    "json_roundtrip": f"SELECT {_REVIEW} FROM s_reviews",
+    "json_roundtrip": f"SELECT {_REVIEW}, time_sk, {_profile(TABLE_PROFILES)} AS profile "
+                      "FROM d_review",
     "zip_csv_scan": f"SELECT {_ITEM} FROM s_items",
     "staging_conform": f"SELECT {_ITEM} FROM s_items",
     "staging_quarantine":
