@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
-
-from signalwatch.plans import retail_run
+from signalwatch.plans import models, retail_run
+from signalwatch.session import session
 from signalwatch.sources.staging import SOURCE_FILES
 
 
-def main() -> None:
+def _options(arguments: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="signalwatch")
     parser.add_argument("source", help="folder with the source files")
     parser.add_argument("target", help="shared folder for the tables of this run")
@@ -20,22 +20,35 @@ def main() -> None:
                         help="set bad rows aside instead of failing")
     parser.add_argument("--standalone", action="store_true",
                         help="use sales and the search file only")
-    options = parser.parse_args()
-    names = SOURCE_FILES | dict(pair.split("=", 1) for pair in options.file)
+    parser.add_argument("--trees", type=int, default=300, help="trees of the random forest")
+    parser.add_argument("--depth", type=int, default=15, help="depth of its trees")
+    parser.add_argument("--rounds", type=int, default=400, help="boosting rounds")
+    parser.add_argument("--partitions", type=int,
+                        help="parts a shuffle starts with, about the input's size over 128 MB")
+    return parser.parse_args(arguments)
+
 
-    spark = SparkSession.builder.appName("signalwatch").getOrCreate()
+def main(arguments: Sequence[str] | None = None) -> None:
+    options = _options(arguments)
+    names = SOURCE_FILES | dict(pair.split("=", 1) for pair in options.file)
+    spark = session(partitions=options.partitions)
     warehouse = retail_run.load(spark, options.source, options.target, names,
                                 strict=not options.quarantine)
     retail_run.loaded(warehouse).show(truncate=False)
+
+    forest = models.random_forest_standalone if options.standalone else models.random_forest
+    chosen = {
+        "random_forest": lambda: forest(trees=options.trees, depth=options.depth),
+        "boosted_trees": lambda: models.boosted_trees(rounds=options.rounds),
+    }
     if options.standalone:
         trends = retail_run.search_file(spark, f"{options.source}/{names['trends']}")
-        outcome = retail_run.analyse_standalone(warehouse, trends, options.target)
+        outcome = retail_run.analyse_standalone(warehouse, trends, options.target, chosen)
     else:
-        outcome = retail_run.analyse(warehouse, options.target)
+        outcome = retail_run.analyse(warehouse, options.target, chosen)
     for name, report in outcome.reports.items():
         print(name)
         report.show(20, truncate=False)
-    spark.stop()
 
 
 if __name__ == "__main__":

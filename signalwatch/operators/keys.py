@@ -93,8 +93,8 @@ def check_key(df: DataFrame, key: str) -> DataFrame:
         F.count("*").alias("n_rows"),
         (F.count("*") - F.count(key)).alias("n_null"),
         (F.count(key) - F.count_distinct(F.col(key))).alias("n_dup"),
-        F.min(key).cast("long").alias("min_key"),
-        F.max(key).cast("long").alias("max_key"),
+        F.min(key).cast("string").alias("min_key"),
+        F.max(key).cast("string").alias("max_key"),
     )
 
 

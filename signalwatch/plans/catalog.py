@@ -16,7 +16,7 @@ from signalwatch.operators.copies import all_copies
 from signalwatch.operators.daily import daily_sales
 from signalwatch.operators.keys import check_key, dense_key
 from signalwatch.plans import features, models, reports, star
-from signalwatch.plans.warehouse import PRIMARY_KEYS, Warehouse, append_sales, build
+from signalwatch.plans.warehouse import NATURAL_KEYS, Warehouse, append_sales, build
 from signalwatch.schemas import CATEGORY, STAGING
 from signalwatch.sources import files, retail_tables
 from signalwatch.storage import fresh_path
@@ -174,12 +174,11 @@ def load_counts(spark, folder):
 
 
 def key_checks(spark, folder):
-    w = warehouse(spark, folder)
-    report = None
-    for name, key in PRIMARY_KEYS.items():
-        row = check_key(w[name], key).withColumn("table_name", F.lit(name))
-        report = row if report is None else report.unionByName(row)
-    return report
+    return warehouse(spark, folder).key_report()
+
+
+def natural_key_checks(spark, folder):
+    return warehouse(spark, folder).key_report(NATURAL_KEYS)
 
 
 def ml_frame(spark, folder):
@@ -550,6 +549,7 @@ QUERIES: dict[str, Query] = {
     "fact_sales_numbered": fact_sales_numbered,
     "load_counts": load_counts,
     "key_checks": key_checks,
+    "natural_key_checks": natural_key_checks,
     "ml_frame": ml_frame,
     "sales_extract": sales_extract,
     "category_spine": category_spine,

@@ -261,10 +261,10 @@ _STATS = (f"{_CATEGORY}, " + ", ".join([
 ]) + f", {_profile(TABLE_PROFILES)} AS profile")
 
 
-def _key_check(name: str, table: str) -> str:
-    return (f"SELECT '{name}' AS table_name, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_null, "
-            f"CAST(0 AS BIGINT) AS n_dup, CAST(1 AS BIGINT) AS min_key, count(*) AS max_key "
-            f"FROM {table}")
+def _key_check(name: str, table: str, key: str) -> str:
+    return (f"SELECT '{name}' AS table_name, count(*) AS n_rows, count(*) - count({key}) AS n_null, "
+            f"count({key}) - count(DISTINCT {key}) AS n_dup, CAST(min({key}) AS VARCHAR) AS min_key, "
+            f"CAST(max({key}) AS VARCHAR) AS max_key FROM {table}")
 
 
 def _top_mean(measure: str) -> str:
@@ -309,11 +309,18 @@ _SELECTS = {
         }.items()
     ),
     "key_checks": " UNION ALL ".join(
-        _key_check(name, table) for name, table in {
-            "dim_time": "d_time", "dim_product": "d_product", "dim_customer": "d_customer",
-            "dim_seller": "d_seller", "dim_trend": "d_trend", "dim_review": "d_review",
-            "fact_sales": "fact",
-        }.items()
+        _key_check(*check) for check in (
+            ("dim_time", "d_time", "time_sk"), ("dim_product", "d_product", "product_sk"),
+            ("dim_customer", "d_customer", "customer_sk"), ("dim_seller", "d_seller", "seller_sk"),
+            ("dim_trend", "d_trend", "trend_sk"), ("dim_review", "d_review", "review_sk"),
+            ("fact_sales", "(SELECT row_number() OVER () AS sales_sk FROM fact)", "sales_sk"),
+        )
+    ),
+    "natural_key_checks": " UNION ALL ".join(
+        _key_check(*check) for check in (
+            ("dim_time", "d_time", "full_date"), ("dim_product", "d_product", "product_id"),
+            ("dim_customer", "d_customer", "customer_id"), ("dim_seller", "d_seller", "seller_id"),
+        )
     ),
     "ml_frame": f"SELECT time_sk, price, {_CATEGORY}, month, quarter, search_volume, "
                 "search_lead_1, search_lead_2, sentiment_score, review_momentum, average_score "
@@ -397,8 +404,8 @@ _SELECTS = {
                      "(SELECT time_sk FROM d_time WHERE year = (SELECT max(year) FROM d_time))",
     "audit_stream": f"SELECT {_AUDITED} FROM fact",
     "audit_log_numbers":
-        "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_null, CAST(0 AS BIGINT) AS n_dup, "
-        "CAST(1 AS BIGINT) AS min_key, count(*) AS max_key FROM fact",
+        "SELECT n_rows, n_null, n_dup, min_key, max_key FROM ("
+        + _key_check("log", "(SELECT row_number() OVER () AS log_id FROM fact)", "log_id") + ")",
     "audit_monitor": "SELECT 'fact_sales' AS table_name, 'INSERT' AS operation, "
                      "count(*) AS total_operations FROM fact",
     "csv_roundtrip": f"SELECT {_d('full_date')}, {_CATEGORY}, search_volume FROM d_trend",

@@ -155,16 +155,19 @@ def item_signals(fact: DataFrame, product: DataFrame, time: DataFrame, trend: Da
     searches = counted(trend.select(*on, "search_volume", "search_lead_1", "search_lead_2"))
     ratings = counted(review.select(*on, "sentiment_score", "review_momentum", "average_score"))
     times = F.coalesce(searches[COPIES], F.lit(1)) * F.coalesce(ratings[COPIES], F.lit(1))
-    signals = searches.join(ratings, on, "full").select(
-        *on, *SIGNAL_DEFAULTS, times.alias(COPIES)
+    signals = settle(
+        searches.join(ratings, on, "full").select(*on, *SIGNAL_DEFAULTS, times.alias(COPIES)),
+        "day_signals",
     )
     items = (
         fact.select("time_sk", "product_sk", "price")
         .join(product.select("product_sk", CATEGORY), "product_sk")
         .join(time.select("time_sk", "month", "quarter"), "time_sk")
-        .join(settle(signals, "day_signals"), on, "left")
+        .join(signals, on, "left")
         .select("time_sk", F.col("price").cast("double").alias("price"), CATEGORY, "month",
                 "quarter", *[signal(name) for name in SIGNAL_DEFAULTS],
                 F.coalesce(COPIES, F.lit(1).cast("long")).alias(COPIES))
     )
+    if signals.where(F.col(COPIES) > 1).isEmpty():
+        return items.drop(COPIES)
     return all_copies(items, spread=False)

@@ -7,10 +7,11 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from signalwatch.constants import DELIVERED
 from signalwatch.operators.daily import daily_sales
-from signalwatch.operators.keys import read_keyed, require_key, write_keyed
+from signalwatch.operators.keys import check_key, read_keyed, require_key, write_keyed
 from signalwatch.plans import star
 from signalwatch.plans.features import category_codes
 from signalwatch.schemas import FACT_SALES
@@ -25,6 +26,13 @@ PRIMARY_KEYS = {
     "dim_review": "review_sk",
     "fact_sales": "sales_sk",
 }
+# What a source row is known by; a repeated one repeats the facts that refer to it.
+NATURAL_KEYS = {
+    "dim_time": "full_date",
+    "dim_product": "product_id",
+    "dim_customer": "customer_id",
+    "dim_seller": "seller_id",
+}
 
 
 class Warehouse(dict):
@@ -35,6 +43,14 @@ class Warehouse(dict):
         for name, df in self.items():
             df.createOrReplaceTempView(name)
 
+    def key_report(self, keys: Mapping[str, str] = PRIMARY_KEYS) -> DataFrame:
+        """One row per table: its rows, and how many keys are missing or repeated."""
+        report = None
+        for name, key in keys.items():
+            row = check_key(self[name], key).withColumn("table_name", F.lit(name))
+            report = row if report is None else report.unionByName(row)
+        return report
+
     def check_primary_keys(self) -> None:
         for name, key in PRIMARY_KEYS.items():
             require_key(self[name], key)

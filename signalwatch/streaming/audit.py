@@ -22,11 +22,13 @@ def create_increments(spark: SparkSession, increments: str) -> None:
 
 
 def start_audit(spark: SparkSession, increments: str, log: str, checkpoint: str,
-                files_per_batch: int | None = None) -> StreamingQuery:
+                files_per_batch: int | None = None, every: str | None = None) -> StreamingQuery:
     """Log all rows that arrived since the last run, then stop.
 
-    ``files_per_batch`` bounds a batch when a long backlog waits.
+    ``files_per_batch`` bounds a batch when a long backlog waits. ``every``, such as
+    "10 seconds", keeps the stream running and looks for new rows that often.
     """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
     reader = spark.readStream.schema(FACT_SALES)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -36,7 +38,7 @@ def start_audit(spark: SparkSession, increments: str, log: str, checkpoint: str,
         .option("path", log)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 

@@ -54,6 +54,19 @@ def test_a_long_backlog_is_read_in_bounded_batches(spark, tmp_path):
     assert audit.read_log(spark, log).count() == 30
 
 
+def test_a_running_stream_picks_up_later_inserts(spark, tmp_path):
+    increments, log, checkpoint = (str(tmp_path / n) for n in ("increments", "log", "checkpoint"))
+    append_sales(sales(spark, 1, 3), increments)
+    query = audit.start_audit(spark, increments, log, checkpoint, every="1 second")
+    try:
+        query.processAllAvailable()
+        append_sales(sales(spark, 4, 2), increments)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert audit.read_log(spark, log).count() == 5
+
+
 def test_difference_of_two_loads(spark):
     old, new = sales(spark, 1, 5), sales(spark, 1, 8)
     logged = audit_rows(inserted_rows(new, old, "sales_sk"))

@@ -70,7 +70,7 @@ def test_dense_for_any_input(spark, values, parts):
 def test_check_key(spark):
     df = spark.createDataFrame([(1,), (2,), (2,), (None,)], "sk long")
     assert check_key(df, "sk").first().asDict() == {
-        "n_rows": 4, "n_null": 1, "n_dup": 1, "min_key": 1, "max_key": 2,
+        "n_rows": 4, "n_null": 1, "n_dup": 1, "min_key": "1", "max_key": "2",
     }
     with pytest.raises(ValueError, match="1 missing, 1 repeated"):
         require_key(df, "sk")

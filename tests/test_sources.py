@@ -224,3 +224,17 @@ def test_stage_sets_bad_rows_aside(spark, tmp_path):
     assert [(r.seller_id, r.problems) for r in out] == [("s2", ["seller_state"])]
     staging.append(tables["sellers"].limit(1), f"{target}/sellers", "sellers")
     assert spark.read.parquet(f"{target}/sellers").count() == 3
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from signalwatch.__main__ import main
+
+    folder, target = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+    source_folder(folder)
+    (folder / "orders.csv").rename(folder / "my_orders.csv")
+    main([str(folder), str(target), "--file", "orders=my_orders.csv", "--quarantine",
+          "--standalone", "--trees", "2", "--depth", "2", "--rounds", "1"])
+    printed = capsys.readouterr().out
+    assert "top_alerts" in printed and "la_cuisine" in printed
+    assert spark.read.parquet(str(target / "reports" / "run_summary")).count() == 1
