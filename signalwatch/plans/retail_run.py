@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -15,7 +16,7 @@ from signalwatch.plans import features, models, reports, star
 from signalwatch.plans.warehouse import Warehouse, build
 from signalwatch.schemas import STAGING
 from signalwatch.sources import files, staging
-from signalwatch.storage import save
+from signalwatch.storage import save, together
 from signalwatch.streaming.audit import create_increments
 
 
@@ -51,7 +52,9 @@ def _report(items: DataFrame, daily: DataFrame, weights: Mapping[str, float],
         "top_acceleration": alerts.top_mean(daily, "acceleration"),
         "category_series": reports.category_series(daily),
     }
-    return {name: save(df, f"{target}/reports/{name}") for name, df in tables.items()}
+    return together(daily.sparkSession, {
+        name: partial(save, df, f"{target}/reports/{name}") for name, df in tables.items()
+    })
 
 
 def analyse(warehouse: Warehouse, target: str, chosen: dict[str, Callable] | None = None

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from multiprocessing.pool import ThreadPool
+from collections.abc import Mapping
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from signalwatch.operators.keys import check_key, read_keyed, require_key, write
 from signalwatch.plans import star
 from signalwatch.plans.features import category_codes
 from signalwatch.schemas import FACT_SALES
-from signalwatch.storage import save
+from signalwatch.storage import save, together
 
 PRIMARY_KEYS = {
     "dim_time": "time_sk",
@@ -57,7 +55,7 @@ class Warehouse(dict):
 
 
 def build(spark: SparkSession, staging: Mapping[str, DataFrame], path: str,
-          delivered: str = DELIVERED, parallel: int = 4) -> Warehouse:
+          delivered: str = DELIVERED) -> Warehouse:
     """Drop and recreate all star schema tables under ``path``.
 
     Each table is written once. Tables that do not need each other are built side by
@@ -70,23 +68,16 @@ def build(spark: SparkSession, staging: Mapping[str, DataFrame], path: str,
         write_keyed(df, f"{path}/{name}", order_by)
         return read_keyed(spark, f"{path}/{name}", df.schema, PRIMARY_KEYS[name])
 
-    made = Warehouse()
-
-    def together(steps: dict[str, Callable[[], DataFrame]]) -> None:
-        run = inheritable_thread_target(spark)(lambda step: step())
-        with ThreadPool(parallel) as pool:
-            made.update(zip(steps, pool.map(run, steps.values())))
-
-    together({
+    made = Warehouse(together(spark, {
         "dim_time": lambda: stored("dim_time", star.dim_time(staging["orders"])),
         "dim_product": lambda: keyed("dim_product", *star.product_rows(staging["products"])),
         "dim_customer": lambda: keyed("dim_customer", *star.customer_rows(staging["customers"])),
         "dim_seller": lambda: keyed("dim_seller", *star.seller_rows(staging["sellers"])),
         "staging_trends": lambda: stored("staging_trends", staging["trends"]),
         "staging_reviews": lambda: stored("staging_reviews", staging["reviews"]),
-    })
+    }))
     time, product = made["dim_time"], made["dim_product"]
-    together({
+    made.update(together(spark, {
         "fact_sales": lambda: keyed("fact_sales", star.sales_rows(
             staging["order_items"], staging["orders"], time, product, made["dim_customer"],
             made["dim_seller"], delivered,
@@ -95,7 +86,7 @@ def build(spark: SparkSession, staging: Mapping[str, DataFrame], path: str,
         "dim_review": lambda: keyed(
             "dim_review", *star.review_rows(made["staging_reviews"], time)
         ),
-    })
+    }))
     made["category_codes"] = stored(
         "category_codes", category_codes(daily_sales(made["fact_sales"], product))
     )

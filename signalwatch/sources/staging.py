@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 from signalwatch.operators.quality import accepted, checked, conform, rejected
 from signalwatch.schemas import STAGING
 from signalwatch.sources.files import scan_csv, scan_json
-from signalwatch.storage import save, settle
+from signalwatch.storage import save, settle, together
 
 SOURCE_FILES = {
     "orders": "orders.csv",
@@ -23,19 +24,14 @@ SOURCE_FILES = {
 }
 
 
-def raw_tables(spark: SparkSession, folder: str,
-               names: Mapping[str, str] = SOURCE_FILES) -> dict[str, DataFrame]:
-    """The columns the staging tables need, as read: text from CSV, JSON values."""
-    raw = {}
-    for table, schema in STAGING.items():
-        path = f"{folder}/{names[table]}"
-        if path.endswith((".json", ".jsonl")):
-            # values as text, so that rounding and checks happen in one place
-            text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-            raw[table] = scan_json(spark, path, text, array=path.endswith(".json"))
-        else:
-            raw[table] = scan_csv(spark, path, schema.fieldNames())
-    return raw
+def raw_table(spark: SparkSession, folder: str, table: str,
+              names: Mapping[str, str] = SOURCE_FILES) -> DataFrame:
+    """The columns a staging table needs, as text: conforming happens in one place."""
+    path, columns = f"{folder}/{names[table]}", STAGING[table].fieldNames()
+    if path.endswith((".json", ".jsonl")):
+        text = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+        return scan_json(spark, path, text, array=path.endswith(".json"))
+    return scan_csv(spark, path, columns)
 
 
 def stage(spark: SparkSession, folder: str, target: str,
@@ -46,17 +42,16 @@ def stage(spark: SparkSession, folder: str, target: str,
     ``strict`` fails on the first bad value; otherwise bad rows go to
     ``<target>/rejected/<table>`` with the names of their bad columns.
     """
-    tables = {}
-    for table, raw in raw_tables(spark, folder, names).items():
+    def load(table: str) -> DataFrame:
+        schema, raw = STAGING[table], raw_table(spark, folder, table, names)
         if strict:
-            good = conform(raw, STAGING[table])
-        else:
-            # stored once, so that the files are read and parsed once for both parts
-            rows = settle(checked(raw, STAGING[table]), f"checked-{table}")
-            save(rejected(rows), f"{target}/rejected/{table}")
-            good = accepted(rows)
-        tables[table] = save(good, f"{target}/{table}")
-    return tables
+            return save(conform(raw, schema), f"{target}/{table}")
+        # stored once, so that the files are read and parsed once for both parts
+        rows = settle(checked(raw, schema), f"checked-{table}")
+        save(rejected(rows), f"{target}/rejected/{table}")
+        return save(accepted(rows), f"{target}/{table}")
+
+    return together(spark, {table: partial(load, table) for table in STAGING})
 
 
 def append(df: DataFrame, path: str, table: str) -> None:

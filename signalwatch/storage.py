@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -41,3 +44,14 @@ def save(df: DataFrame, path: str) -> DataFrame:
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once so later steps read it instead of computing it again."""
     return save(df, fresh_path(df.sparkSession, name))
+
+
+def together(spark: SparkSession, steps: Mapping[str, Callable[[], DataFrame]],
+             parallel: int = 4) -> dict[str, DataFrame]:
+    """Run steps that do not need each other side by side.
+
+    Each step is a Spark job of its own; small ones leave room on the cluster for others.
+    """
+    run = inheritable_thread_target(spark)(lambda step: step())
+    with ThreadPool(parallel) as pool:
+        return dict(zip(steps, pool.map(run, steps.values())))
