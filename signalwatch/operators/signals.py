@@ -98,11 +98,15 @@ def for_categories(df: DataFrame, categories: Sequence[str] = C.SAMPLE_CATEGORIE
     return df.where(F.col(CATEGORY).isin(list(categories)))
 
 
-def signal_summary(signal: DataFrame) -> DataFrame:
-    """Rows, categories and the period a signal covers."""
+def signal_summary(signal: DataFrame, approximate: bool = False) -> DataFrame:
+    """Rows, categories and the period a signal covers.
+
+    ``approximate`` estimates the number of categories without shuffling their names.
+    """
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
     return signal.agg(
         F.count("*").alias("n_rows"),
-        F.count_distinct(CATEGORY).alias("n_categories"),
+        distinct(CATEGORY).alias("n_categories"),
         F.min("full_date").alias("first_date"),
         F.max("full_date").alias("last_date"),
     )

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from signalwatch.operators.daily import daily_sales, with_signals
-from signalwatch.operators.signals import category_spine, review_signal, run_ahead, search_signal
+from signalwatch.operators.signals import (
+    category_spine, for_categories, review_signal, run_ahead, search_signal, signal_summary,
+)
 from signalwatch.plans import star
 from signalwatch.plans.warehouse import build
 from signalwatch.schemas import CATEGORY, STAGING
@@ -174,6 +176,15 @@ def test_spine(built):
     ]
 
 
+def test_signal_summary(shop):
+    trends = shop["trends"]
+    for approximate in (False, True):
+        row = signal_summary(trends, approximate).first()
+        assert tuple(row) == (4, 1, DAY(2024, 5, 5), DAY(2024, 5, 9))
+    assert for_categories(trends, ["toys"]).count() == 4
+    assert for_categories(trends).count() == 0
+
+
 def test_signals_from_activity(spark):
     days = [DAY(2024, 1, d) for d in (1, 2, 3)]
     activity = spark.createDataFrame(
