@@ -69,3 +69,21 @@ def with_signals(daily: DataFrame, dim_trend: DataFrame, dim_review: DataFrame)
             ],
         )
     )
+
+
+def items_analysed(fact: DataFrame, dim_product: DataFrame, *signals: DataFrame) -> DataFrame:
+    """One row: how many items there are once each has met the signal rows of its day.
+
+    Counted from day rows, so that no item passes a signal join for the sake of a count.
+    """
+    days = (
+        fact.select("time_sk", "product_sk")
+        .join(dim_product.select("product_sk", CATEGORY), "product_sk")
+        .groupBy(*DAY)
+        .agg(F.count("*").alias("n"))
+    )
+    for signal in signals:
+        listed = signal.groupBy(*DAY).agg(F.count("*").alias("listed"))
+        times = F.coalesce("listed", F.lit(1))
+        days = days.join(listed, DAY, "left").select(*DAY, (F.col("n") * times).alias("n"))
+    return days.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_analysed"))

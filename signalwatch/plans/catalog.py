@@ -13,7 +13,7 @@ from signalwatch.functions.dates import calendar
 from signalwatch.functions.scoring import profile_of
 from signalwatch.operators import alerts, audit, metrics, quality, series, signals, splits
 from signalwatch.operators.copies import all_copies
-from signalwatch.operators.daily import daily_sales
+from signalwatch.operators.daily import daily_sales, items_analysed
 from signalwatch.operators.keys import check_key, dense_key
 from signalwatch.plans import features, models, reports, star
 from signalwatch.plans.warehouse import NATURAL_KEYS, Warehouse, append_sales, build
@@ -103,6 +103,11 @@ def _ordered(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
     return rows, rows.count()
 
 
+def _analysed(spark: SparkSession, folder: str) -> DataFrame:
+    w = warehouse(spark, folder)
+    return items_analysed(w["fact_sales"], w["dim_product"], w["dim_trend"], w["dim_review"])
+
+
 def _evaluation(spark: SparkSession, folder: str) -> models.Evaluation:
     place = (spark.sparkContext.applicationId, folder)
     if place not in _evaluated:
@@ -355,6 +360,16 @@ def category_series(spark, folder):
     return shown(reports.category_series(_daily_features(spark, folder), SERIES_CATEGORY))
 
 
+def data_volume(spark, folder):
+    """Items analysed, categories and days with sales."""
+    daily = _daily_features(spark, folder)
+    n_items = _analysed(spark, folder).scalar()
+    return daily.agg(
+        F.count_distinct(CATEGORY).alias("categories"),
+        F.count_distinct("time_sk").alias("days"),
+    ).select(n_items.alias("rows_analysed"), "categories", "days")
+
+
 # --- validation ---------------------------------------------------------------------------------
 
 
@@ -427,8 +442,7 @@ def feature_importance(spark, folder):
 
 def run_summary(spark, folder):
     return shown(reports.run_summary(
-        warehouse(spark, folder)["fact_sales"], _daily_features(spark, folder),
-        _evaluation(spark, folder),
+        _analysed(spark, folder), _daily_features(spark, folder), _evaluation(spark, folder)
     ))
 
 
@@ -580,6 +594,7 @@ QUERIES: dict[str, Query] = {
     "top_growth": top_growth,
     "top_acceleration": top_acceleration,
     "category_series": category_series,
+    "data_volume": data_volume,
     "holdout_split": holdout_split,
     "ts_folds": ts_folds,
     "fold_metrics": fold_metrics,

@@ -400,6 +400,8 @@ _SELECTS = {
     "top_acceleration": _top_mean("acceleration"),
     "category_series": f"SELECT time_sk, sales_volume, {_r('search_momentum')} FROM features "
                        f"WHERE category = '{SERIES_CATEGORY}'",
+    "data_volume": "SELECT count(*) AS rows_analysed, count(DISTINCT category) AS categories, "
+                   "count(DISTINCT time_sk) AS days FROM ml",
     "audit_inserts": f"SELECT {_AUDITED} FROM fact WHERE time_sk IN "
                      "(SELECT time_sk FROM d_time WHERE year = (SELECT max(year) FROM d_time))",
     "audit_stream": f"SELECT {_AUDITED} FROM fact",

@@ -10,10 +10,10 @@ from signalwatch.plans.models import Evaluation
 from signalwatch.schemas import CATEGORY
 
 
-def run_summary(items: DataFrame, features: DataFrame, found: Evaluation) -> DataFrame:
+def run_summary(analysed: DataFrame, features: DataFrame, found: Evaluation) -> DataFrame:
     """One row: data volumes and the quality of the winning model."""
     winner = found.comparison.where(F.col("winner"))
-    n_items = items.agg(F.count("*").alias("n")).scalar()
+    n_items = analysed.select("rows_analysed").scalar()
     n_categories = features.agg(F.count_distinct(CATEGORY).alias("n")).scalar()
     return winner.select(
         n_items.alias("rows_analysed"), n_categories.alias("categories"),

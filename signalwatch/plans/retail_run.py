@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from signalwatch import constants as C
 from signalwatch.operators import alerts
+from signalwatch.operators.daily import items_analysed
 from signalwatch.operators.quality import conform, load_counts
-from signalwatch.plans import features, models, reports, star
+from signalwatch.plans import features, models, reports
 from signalwatch.plans.warehouse import Warehouse, build
 from signalwatch.schemas import STAGING
 from signalwatch.sources import files, staging
@@ -39,11 +40,11 @@ def load(spark: SparkSession, folder: str, target: str,
     return warehouse
 
 
-def _report(items: DataFrame, daily: DataFrame, weights: Mapping[str, float],
+def _report(analysed: DataFrame, daily: DataFrame, weights: Mapping[str, float],
             found: models.Evaluation, target: str) -> dict[str, DataFrame]:
     ranked = alerts.with_level(alerts.category_alerts(daily, weights))
     tables = {
-        "run_summary": reports.run_summary(items, daily, found),
+        "run_summary": reports.run_summary(analysed, daily, found),
         "model_comparison": found.comparison,
         "feature_importance": reports.top_features(found.importance, len(C.FEATURES)),
         "category_alerts": ranked,
@@ -66,10 +67,8 @@ def analyse(warehouse: Warehouse, target: str, chosen: dict[str, Callable] | Non
         w["category_codes"],
     ), f"{target}/daily_features")
     found = models.evaluate(daily, C.FEATURES, chosen)
-    items = star.item_signals(
-        w["fact_sales"], w["dim_product"], w["dim_time"], w["dim_trend"], w["dim_review"]
-    )
-    return Outcome(w, daily, _report(items, daily, C.ALERT_WEIGHTS, found, target))
+    analysed = items_analysed(w["fact_sales"], w["dim_product"], w["dim_trend"], w["dim_review"])
+    return Outcome(w, daily, _report(analysed, daily, C.ALERT_WEIGHTS, found, target))
 
 
 def search_file(spark: SparkSession, path: str) -> DataFrame:
@@ -94,8 +93,10 @@ def analyse_standalone(warehouse: Warehouse, trends: DataFrame, target: str,
         "random_forest": models.random_forest_standalone, "boosted_trees": models.boosted_trees,
     }
     found = models.evaluate(daily, C.FEATURES_STANDALONE, chosen)
-    return Outcome(w, daily, _report(w["fact_sales"], daily, C.ALERT_WEIGHTS_STANDALONE, found,
-                                     target))
+    analysed = items_analysed(w["fact_sales"], w["dim_product"])
+    return Outcome(
+        w, daily, _report(analysed, daily, C.ALERT_WEIGHTS_STANDALONE, found, target)
+    )
 
 
 def loaded(warehouse: Warehouse) -> DataFrame:

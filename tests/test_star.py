@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from signalwatch.operators.daily import daily_sales, with_signals
+from signalwatch.operators.daily import daily_sales, items_analysed, with_signals
 from signalwatch.operators.signals import (
     category_spine, for_categories, review_signal, run_ahead, search_signal, signal_summary,
 )
@@ -148,6 +148,8 @@ def test_aggregating_before_the_signal_joins_changes_nothing(spark, built):
                 for r in rows(df, *columns)]
 
     assert near(daily) == near(expected)
+    analysed = items_analysed(built["fact_sales"], built["dim_product"], trend, review)
+    assert analysed.first().rows_analysed == items.count()
     assert {r.sales_volume for r in daily.collect()} == {1, 2, 6}
 
 
