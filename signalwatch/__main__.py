@@ -6,6 +6,7 @@ import argparse
 from collections.abc import Sequence
 
 from signalwatch.plans import models, retail_run
+from signalwatch.plans.warehouse import reopen
 from signalwatch.session import session
 from signalwatch.sources.staging import SOURCE_FILES
 
@@ -18,6 +19,8 @@ def _options(arguments: Sequence[str] | None) -> argparse.Namespace:
                         help="file name of a source table, e.g. orders=my_orders.csv")
     parser.add_argument("--quarantine", action="store_true",
                         help="set bad rows aside instead of failing")
+    parser.add_argument("--reuse", action="store_true",
+                        help="keep the star schema an earlier run built under TARGET")
     parser.add_argument("--standalone", action="store_true",
                         help="use sales and the search file only")
     parser.add_argument("--trees", type=int, default=300, help="trees of the random forest")
@@ -32,8 +35,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
     options = _options(arguments)
     names = SOURCE_FILES | dict(pair.split("=", 1) for pair in options.file)
     spark = session(partitions=options.partitions)
-    warehouse = retail_run.load(spark, options.source, options.target, names,
-                                strict=not options.quarantine)
+    if options.reuse:
+        warehouse = reopen(spark, f"{options.target}/star")
+    else:
+        warehouse = retail_run.load(spark, options.source, options.target, names,
+                                    strict=not options.quarantine)
     retail_run.loaded(warehouse).show(truncate=False)
 
     forest = models.random_forest_standalone if options.standalone else models.random_forest

@@ -68,8 +68,15 @@ def write_keyed(df: DataFrame, path: str, order_by: Sequence[str] | None = None)
     save(_starts(rows), f"{path}/starts")
 
 
-def read_keyed(spark: SparkSession, path: str, schema: T.StructType, key: str) -> DataFrame:
-    """The rows written by :func:`write_keyed`, led by their dense key ``1..n``."""
+def read_keyed(spark: SparkSession, path: str, key: str,
+               schema: T.StructType | None = None) -> DataFrame:
+    """The rows written by :func:`write_keyed`, led by their dense key ``1..n``.
+
+    Without a ``schema`` the stored one is looked up.
+    """
+    if schema is None:
+        found = spark.read.parquet(f"{path}/rows").schema
+        schema = T.StructType([field for field in found.fields if field.name != _PLACE])
     stored = T.StructType([*schema.fields, T.StructField(_PLACE, T.LongType())])
     starts_type = T.StructType([T.StructField(_STARTS, T.ArrayType(T.LongType()))])
     rows = spark.read.schema(stored).parquet(f"{path}/rows")
@@ -84,7 +91,7 @@ def dense_key(df: DataFrame, key: str, order_by: Sequence[str] | None = None) ->
     """Add a key ``1..n``, in ``order_by`` order (NULLs last) or in any order."""
     path = fresh_path(df.sparkSession, key)
     write_keyed(df, path, order_by)
-    return read_keyed(df.sparkSession, path, df.schema, key)
+    return read_keyed(df.sparkSession, path, key, df.schema)
 
 
 def check_key(df: DataFrame, key: str) -> DataFrame:

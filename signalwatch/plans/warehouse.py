@@ -66,7 +66,7 @@ def build(spark: SparkSession, staging: Mapping[str, DataFrame], path: str,
 
     def keyed(name: str, df: DataFrame, order_by: list[str] | None) -> DataFrame:
         write_keyed(df, f"{path}/{name}", order_by)
-        return read_keyed(spark, f"{path}/{name}", df.schema, PRIMARY_KEYS[name])
+        return read_keyed(spark, f"{path}/{name}", PRIMARY_KEYS[name], df.schema)
 
     made = Warehouse(together(spark, {
         "dim_time": lambda: stored("dim_time", star.dim_time(staging["orders"])),
@@ -93,6 +93,16 @@ def build(spark: SparkSession, staging: Mapping[str, DataFrame], path: str,
     return made
 
 
+def reopen(spark: SparkSession, path: str) -> Warehouse:
+    """The tables an earlier run built under ``path``."""
+    plain = ["dim_time", "staging_trends", "staging_reviews", "category_codes"]
+    found = Warehouse({name: spark.read.parquet(f"{path}/{name}") for name in plain})
+    for name, key in PRIMARY_KEYS.items():
+        if name not in plain:
+            found[name] = read_keyed(spark, f"{path}/{name}", key)
+    return found
+
+
 def append_sales(sales: DataFrame, path: str) -> None:
     """Append keyed fact rows to the folder the audit stream watches."""
     sales.select(*FACT_SALES.fieldNames()).write.mode("append").parquet(path)

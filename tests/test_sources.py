@@ -239,3 +239,5 @@ def test_command_line(spark, tmp_path, capsys):
     printed = capsys.readouterr().out
     assert "top_alerts" in printed and "la_cuisine" in printed
     assert spark.read.parquet(str(target / "reports" / "run_summary")).count() == 1
+    main([str(folder), str(target), "--reuse", "--trees", "1", "--depth", "1", "--rounds", "1"])
+    assert "sentiment_score" in spark.read.parquet(str(target / "daily_features")).columns

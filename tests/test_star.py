@@ -9,7 +9,7 @@ from signalwatch.operators.signals import (
     category_spine, for_categories, review_signal, run_ahead, search_signal, signal_summary,
 )
 from signalwatch.plans import star
-from signalwatch.plans.warehouse import build
+from signalwatch.plans.warehouse import build, reopen
 from signalwatch.schemas import CATEGORY, STAGING
 
 DAY = dt.date
@@ -59,8 +59,13 @@ def shop(spark):
 
 
 @pytest.fixture(scope="module")
-def built(spark, shop, tmp_path_factory):
-    return build(spark, shop, str(tmp_path_factory.mktemp("star")))
+def place(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("star"))
+
+
+@pytest.fixture(scope="module")
+def built(spark, shop, place):
+    return build(spark, shop, place)
 
 
 def rows(df, *columns):
@@ -160,6 +165,17 @@ def test_primary_keys_and_counts(built):
     }
 
 
+def test_an_earlier_build_can_be_reopened(spark, built, place):
+    again = reopen(spark, place)
+    assert set(again) == set(built)
+    for name, df in built.items():
+        assert again[name].columns == df.columns
+        assert rows(again[name].select(*[F.col(c).cast("string") for c in df.columns]),
+                    *df.columns[:1]) == \
+            rows(df.select(*[F.col(c).cast("string") for c in df.columns]), *df.columns[:1])
+    again.check_primary_keys()
+
+
 def test_repeated_source_rows_keep_separate_keys(spark):
     twice = spark.createDataFrame([("p", "a"), ("p", "a")], STAGING["products"])
     assert sorted(r.product_sk for r in star.dim_product(twice).collect()) == [1, 2]
