@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from signalwatch.storage import fresh_path, settle
 
-__all__ = ["components", "fresh_path", "mixed", "picked", "read_table", "settle"]
+__all__ = ["BASE", "components", "fresh_path", "mixed", "picked", "read_table", "settle",
+           "word_hashes", "word_spans"]
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,6 +34,56 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
+#: Multiplier of hashes; odd, so it has an inverse modulo 2 ** 64.
+BASE = 0x9E3779B97F4A7C15
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: A random number for each byte, and the same with A-Z as a-z.
+_EXACT = np.random.default_rng(20240601).integers(0, 2**63, 256, np.uint64)
+_FOLDED = _EXACT[np.frombuffer(bytes(range(256)).lower(), np.uint8)]
+_powers: list[np.ndarray] = []
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, long enough for a text of ``n`` bytes."""
+    if _powers and len(_powers[0]) >= n:
+        return _powers
+    n = max(n, 1 << 16)
+    tables = []
+    for base in (BASE, pow(BASE, -1, 2**64)):
+        table = np.full(n, base, np.uint64)
+        table[0] = 1
+        tables.append(np.cumprod(table))
+    if n <= 1 << 21:  # one very long text should not hold memory afterwards
+        _powers[:] = tables
+    return tables
+
+
+def word_spans(raw: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of a text's UTF-8 bytes start and end, and a 64-bit hash of each.
+
+    Words are runs of anything but ASCII white space; ``fold`` takes A-Z as a-z. All words are
+    hashed at once, by differences of a running sum of byte numbers times powers.
+    """
+    inside = np.zeros(len(raw) + 2, np.int8)
+    inside[1:-1] = ~_SPACE[raw]
+    edge = np.diff(inside)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(start):
+        return start, end, np.empty(0, np.uint64)
+    powers, inverse = _power_tables(len(raw) + 1)
+    running = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((_FOLDED if fold else _EXACT)[raw] * powers[:len(raw)], out=running[1:])
+    hashes = (running[end] - running[start]) * inverse[start] + (end - start).astype(np.uint64)
+    return start, end, mixed(hashes)
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each word of a text, A-Z as a-z."""
+    return word_spans(np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8),
+                      fold=True)[2]
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """``node, component`` for every node of ``links`` (``a, b``, both long): the component is
     the smallest node that can be reached.

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalwatch.llm.common import components, mixed, picked, settle
+from signalwatch.llm.common import BASE, components, mixed, picked, settle, word_hashes
 
 BANDS = 40
 PERMUTATIONS_PER_BAND = 2
@@ -38,48 +38,6 @@ BLOCK = 1000
 SLACK = 0.14
 
 
-_RANDOM = np.random.default_rng(20240601)
-#: A random number for each byte; A-Z have those of a-z.
-_BYTES = _RANDOM.integers(0, 2**63, 256, np.uint64)[
-    np.frombuffer(bytes(range(256)).lower(), np.uint8)]
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
-_powers: list[np.ndarray] = []
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse, long enough for a text of ``n`` bytes."""
-    if not _powers or len(_powers[0]) < n:
-        n = max(n, 1 << 16)
-        tables = []
-        for base in (_BASE, pow(_BASE, -1, 2**64)):
-            table = np.full(n, base, np.uint64)
-            table[0] = 1
-            tables.append(np.cumprod(table))
-        if n > 1 << 21:  # not kept: one very long text should not hold memory afterwards
-            return tables
-        _powers[:] = tables
-    return _powers
-
-
-def word_hashes(text: str | None) -> np.ndarray:
-    """A 64-bit hash of each word; words are runs of anything but ASCII white space, and A-Z
-    count as a-z. All words at once: differences of a running sum of byte numbers times powers."""
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
-    inside = np.zeros(len(raw) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[raw]
-    edge = np.diff(inside)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    if not len(start):
-        return np.empty(0, np.uint64)
-    powers, inverse = _power_tables(len(raw) + 1)
-    running = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTES[raw] * powers[:len(raw)], out=running[1:])
-    return mixed((running[end] - running[start]) * inverse[start]
-                 + (end - start).astype(np.uint64))
-
-
 def shingle_hashes(text: str | None, width: int = 2) -> np.ndarray:
     """The sorted distinct hashes of a text's word shingles.
 
@@ -91,7 +49,7 @@ def shingle_hashes(text: str | None, width: int = 2) -> np.ndarray:
     width = min(width, len(hashes))
     out = np.full(len(hashes) - width + 1, width, np.uint64)
     for k in range(width):
-        out = mixed(out * np.uint64(_BASE) + hashes[k:len(hashes) - width + 1 + k])
+        out = mixed(out * np.uint64(BASE) + hashes[k:len(hashes) - width + 1 + k])
     return np.unique(out)
 
 
@@ -121,7 +79,7 @@ def _signer(bands: int, per_band: int, width: int):
         values = np.stack([mixed(low), mixed(high)], 1).reshape(bands, 2 * per_band)
         keys = np.arange(1, bands + 1, dtype=np.uint64)
         for column in values.T:
-            keys = mixed(keys * np.uint64(_BASE) + column)
+            keys = mixed(keys * np.uint64(BASE) + column)
         return keys, values
 
     def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

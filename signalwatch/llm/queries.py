@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalwatch.llm import arrow_tokens, minmax_dedup, packing
+from signalwatch.llm import (
+    arrow_tokens,
+    crf_quality,
+    importance,
+    minmax_dedup,
+    packing,
+    spaced_seeds,
+    weak_toxicity,
+)
 from signalwatch.llm.common import read_table
 
 
@@ -12,6 +20,26 @@ def op1_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minmax_dedup.near_duplicates(read_table(spark, folder, "documents"))
 
 
+def op2_crf_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return crf_quality.quality(read_table(spark, folder, "documents"),
+                               read_table(spark, folder, "labels"))
+
+
+def op3_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(read_table(spark, folder, "documents"),
+                               read_table(spark, folder, "labels"))
+
+
+def op5_weak_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return weak_toxicity.toxicity(read_table(spark, folder, "documents"),
+                                  read_table(spark, folder, "labels"))
+
+
+def op6_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    return spaced_seeds.overlaps(read_table(spark, folder, "documents"),
+                                 read_table(spark, folder, "benchmark"))
+
+
 def op7_arrow_tokens(spark: SparkSession, folder: str) -> DataFrame:
     files = arrow_tokens.write_sequences(read_table(spark, folder, "documents"))
     return arrow_tokens.read_documents(files)
@@ -21,4 +49,6 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minmax_dedup, op7_arrow_tokens, op8_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_minmax_dedup, op2_crf_quality, op3_importance, op5_weak_toxicity, op6_spaced_seeds,
+    op7_arrow_tokens, op8_packing)}
