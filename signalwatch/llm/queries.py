@@ -8,10 +8,13 @@ from signalwatch.llm import (
     arrow_tokens,
     crf_quality,
     importance,
+    link_trust,
     minmax_dedup,
     packing,
+    secret_forest,
     spaced_seeds,
     weak_toxicity,
+    wrappers,
 )
 from signalwatch.llm.common import read_table
 
@@ -30,6 +33,10 @@ def op3_importance(spark: SparkSession, folder: str) -> DataFrame:
                                read_table(spark, folder, "labels"))
 
 
+def op4_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_forest.findings(read_table(spark, folder, "documents"))
+
+
 def op5_weak_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return weak_toxicity.toxicity(read_table(spark, folder, "documents"),
                                   read_table(spark, folder, "labels"))
@@ -49,6 +56,14 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_table(spark, folder, "documents"))
 
 
+def op9_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.extract(read_table(spark, folder, "pages"))
+
+
+def op10_link_trust(spark: SparkSession, folder: str) -> DataFrame:
+    return link_trust.judge_urls(read_table(spark, folder, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_minmax_dedup, op2_crf_quality, op3_importance, op5_weak_toxicity, op6_spaced_seeds,
-    op7_arrow_tokens, op8_packing)}
+    op1_minmax_dedup, op2_crf_quality, op3_importance, op4_secret_forest, op5_weak_toxicity,
+    op6_spaced_seeds, op7_arrow_tokens, op8_packing, op9_wrappers, op10_link_trust)}
