@@ -13,24 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalwatch.llm import minmax_dedup, packing, secret_forest, spaced_seeds, weak_toxicity
-from signalwatch.llm.common import read_table, settle
+from signalwatch.llm.common import read_table, settle, without
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are predicted to be toxic go."""
-    toxic = weak_toxicity.toxicity(docs, read_table(spark, sf_dir, "labels")) \
-        .where("predicted = 1").select(F.col("doc_id").alias("_toxic")).distinct()
-    return docs.join(toxic, docs["doc_id"].cast("long") == F.col("_toxic"), "left_anti")
+    judged = weak_toxicity.toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return without(docs, judged.where("predicted = 1"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one of the smallest doc_id: word
     shingles of five words, similarity of 0.8 or more."""
-    copies = minmax_dedup.near_duplicates(docs, percent=80, width=5) \
-        .where("NOT kept").select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(copies, docs["doc_id"].cast("long") == F.col("_copy"), "left_anti")
+    found = minmax_dedup.near_duplicates(docs, percent=80, width=5)
+    return without(docs, found.where("NOT kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalwatch.storage import fresh_path, settle
 
-__all__ = ["BASE", "components", "fresh_path", "mixed", "picked", "read_table", "settle",
-           "word_hashes", "word_spans"]
+__all__ = ["BASE", "as_rows", "components", "fresh_path", "mixed", "picked", "read_table", "settle",
+           "without", "word_hashes", "word_spans"]
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +34,19 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
+def without(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not in ``ids`` (``doc_id``), with all their columns, whatever
+    these are called. Documents without a doc_id stay."""
+    gone = ids.select(F.col("doc_id").alias("gone")).distinct()
+    return as_rows(documents).join(gone, F.col("row.doc_id").cast("long") == F.col("gone"),
+                                   "left_anti").select("row.*")
+
+
+def as_rows(table: DataFrame) -> DataFrame:
+    """All columns as one, ``row``, so that their names cannot clash with others."""
+    return table.select(F.struct(*[F.col(f"`{c}`") for c in table.columns]).alias("row"))
+
+
 #: Multiplier of hashes; odd, so it has an inverse modulo 2 ** 64.
 BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
@@ -131,7 +144,3 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     hung = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return hung.union(roots)
-
-
-def count_of(condition: Column) -> Column:
-    return F.sum(F.when(condition, 1).otherwise(0)).cast("long")

@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalwatch.llm.common import picked, settle
+from signalwatch.llm.common import as_rows, picked, settle
 
 LEAST_LENGTH = 16
 #: Findings of each label that the forest is fitted on, the first by hash.
@@ -169,13 +169,16 @@ def findings(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def redacted(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """All documents with the same columns; in ``text`` each secret is replaced by ``[SECRET]``."""
+    """All documents with the same columns; in ``text`` each secret is replaced by ``[SECRET]``,
+    wherever it stands. Documents without a doc_id stay as they are."""
     secrets = scan(documents, threshold).where("secret") \
-        .groupBy(F.col("doc_id").alias("_doc_id")).agg(F.collect_set("run").alias("_runs"))
-    longest_first = F.sort_array(F.transform("_runs", lambda r: F.struct(
+        .groupBy("doc_id").agg(F.collect_set("run").alias("runs"))  # of one text
+    longest_first = F.sort_array(F.transform("runs", lambda r: F.struct(
         F.length(r).alias("n"), r.alias("run"))), asc=False)
-    text = F.aggregate(longest_first, F.col("text").cast("string"),
-                       lambda t, r: F.replace(t, r["run"], F.lit(REDACTED)))
-    return documents.join(secrets, documents["doc_id"].cast("long") == F.col("_doc_id"), "left") \
-        .withColumn("text", F.when(F.col("_runs").isNotNull(), text).otherwise(F.col("text"))) \
-        .select(*[F.col(f"`{c}`") for c in documents.columns])
+    clean = F.aggregate(longest_first, F.col("row.text").cast("string"),
+                        lambda t, r: F.replace(t, r["run"], F.lit(REDACTED)))
+    return as_rows(documents) \
+        .join(secrets, F.col("row.doc_id").cast("long") == F.col("doc_id"), "left") \
+        .withColumn("row", F.when(F.col("runs").isNotNull(), F.col("row").withField("text", clean))
+                    .otherwise(F.col("row"))) \
+        .select("row.*")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalwatch.llm.common import picked, settle
+from signalwatch.llm.common import picked, settle, without
 
 #: Together these meet every window of 20 words in which 16 or more are as in the item, wherever
 #: the others lie; tests/llm/test_spaced_seeds.py tries all cases.
@@ -114,7 +114,5 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]
 
 
 def without_overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that overlap no item, with all their columns."""
-    found = overlaps(documents, benchmark).select(F.col("doc_id").alias("_overlapping")).distinct()
-    return documents.join(
-        found, documents["doc_id"].cast("long") == F.col("_overlapping"), "left_anti")
+    """The documents that overlap no item, with all their columns; those without a doc_id stay."""
+    return without(documents, overlaps(documents, benchmark))
