@@ -113,8 +113,9 @@ def fit_label_model(votes: np.ndarray, rounds: int = 50) -> LabelModel:
 
     for step in range(rounds):
         maximise()
-        if step == rounds // 2:
-            # what voters share beyond the label, from residuals given the label
+        if step in (0, rounds // 2):
+            # what voters share beyond the label, from residuals given the label; first of all, so
+            # that voters who copy each other do not agree on a label of their own
             residual = np.zeros((n, m))
             for j in range(m):
                 values = np.array([-1, 0, 1])
