@@ -4,8 +4,8 @@ A candidate is a run of 16 or more letters, digits and +/_- within a word. The f
 length, how kinds of characters follow each other, how much of it is made of pieces that words of the
 corpus begin with, whether it looks like part of a path, and the words around it. It is trained on
 labelled findings: candidates that the text itself assigns to a credential's name are secrets,
-candidates without such a name are not. Each finding is learned from twice, the second time without
-its neighbours, so that a secret is known by its looks too.
+candidates without such a name are not. Each finding is learned from twice, the second time as if
+it stood between plain words, so that a secret is known by its looks too.
 
 All steps are DataFrame operations and Spark's own forest.
 """
@@ -24,6 +24,8 @@ LEAST_LENGTH = 16
 #: Findings of each label that the forest is fitted on, the first by hash.
 FIT_FINDINGS = 10_000
 TREES, DEPTH, SEED = 40, 8, 5
+#: Findings that a leaf holds at least: single wrong labels get no leaf of their own.
+LEAF = 8
 THRESHOLD = 0.5
 #: A three-letter beginning is in the dictionary if so many of a million words have it.
 DICTIONARY_PER_MILLION = 200
@@ -129,14 +131,15 @@ def train(found: DataFrame):
         part = found.where(F.col("label") == label).orderBy(*order).limit(FIT_FINDINGS) \
             .select("label", *columns)
         some = part if some is None else some.union(part)
-    bare = some.select("label", *_LOOKS, *[F.lit(0.0).alias(c) for c in _AROUND])
+    bare = some.select("label", *_LOOKS, *[F.lit(float(c.startswith("plain"))).alias(c)
+                                           for c in _AROUND])
     # a bounded sample in one partition, sorted: the forest is the same on every cluster
     rows = settle(some.union(bare).coalesce(1).sortWithinPartitions("label", *columns),
                   "secret-findings").coalesce(1)
     if rows.select("label").distinct().count() < 2:
         return None
     return RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=TREES,
-                                  maxDepth=DEPTH, seed=SEED, cacheNodeIds=False) \
+                                  maxDepth=DEPTH, seed=SEED, minInstancesPerNode=LEAF) \
         .fit(_vectors(rows))
 
 

@@ -1,0 +1,67 @@
+import random
+import re
+
+from llm.tables import WORDS, awkward, documents, rows, sentence
+
+from signalwatch.llm import secret_forest as op
+
+
+def key(rng, n=40, alphabet="0123456789abcdef"):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+def corpus():
+    rng = random.Random(5)
+    texts, secrets = {}, {}
+    for k in range(160):
+        words = [rng.choice(WORDS) for _ in range(60)]
+        at = rng.randrange(20, 50)
+        words[at - 8] = "".join(rng.choice(WORDS) for _ in range(5))  # a long word
+        words[at - 5] = key(rng, 16, "0123456789")
+        words[at - 3] = "/home/user/" + "/".join(rng.choice(WORDS) for _ in range(3))
+        if k % 2:
+            secret = key(rng) if k % 4 == 1 else key(rng, 32, "aBcDeFgH0123456789XyZ+/")
+            words[at:at + 1] = [rng.choice(("token", "API_KEY", "password")), "=", f'"{secret}"']
+            secrets[k] = secret
+        texts[k] = " ".join(words)
+    return texts, secrets
+
+
+def test_candidates_are_all_runs(spark):
+    texts = corpus()[0] | {500: 'a="' + "x" * 20 + "," + "y" * 16 + '" ' + "z" * 15 + "=="}
+    found = op.candidates(documents(spark, texts))
+    expected = [(i, at, run) for i, t in texts.items() for at, w in enumerate(t.split(" "))
+                for run in re.findall("[A-Za-z0-9+/_-]{16,}={0,2}", w)]
+    assert rows(found, "doc_id", "word_at", "run") == sorted(expected)
+
+
+def test_secrets_are_told_from_look_alikes(spark):
+    texts, secrets = corpus()
+    rng = random.Random(6)
+    bare = key(rng)
+    texts[900] = f"{sentence(1)} {bare} {sentence(2)}"  # no name before it
+    found = op.scan(documents(spark, texts)).where("secret").collect()
+    assert {(r.doc_id, r.run) for r in found} == {*secrets.items(), (900, bare)}
+
+
+def test_redaction_keeps_the_rest(spark):
+    texts, secrets = corpus()
+    texts[3] = texts[3] + " again " + secrets[3]
+    docs = documents(spark, texts)
+    clean = op.redacted(docs)
+    assert clean.columns == docs.columns
+    assert rows(clean, "doc_id", "text", "key") == sorted(
+        (i, t.replace(secrets.get(i, t), op.REDACTED) if i in secrets else t, "x")
+        for i, t in texts.items())
+    shown = op.findings(docs)
+    assert "run" not in shown.columns and shown.where("secret").count() == len(secrets) + 1
+
+
+def test_awkward_rows(spark):
+    docs = documents(spark, [*awkward(), (30, 'token = "' + "a1" * 20 + '"'), (31, None)])
+    assert op.scan(docs).where("secret").count() == 0  # no findings that are none
+    assert op.redacted(docs).count() == docs.count()
+    found = rows(op.scan(docs), "doc_id", "word_at", "run", "score")
+    assert found == [(30, 2, "a1" * 20, 0.0)]
+    none = docs.where("doc_id > 99")
+    assert op.scan(none).count() == 0 and op.redacted(none).count() == 0
