@@ -10,10 +10,10 @@ How the work stays bounded where many documents share a bucket:
   doc_id of a class goes on.
 * In each bucket, all members are compared with the bucket's two leaders only: as many pairs as
   members. Confirmed links are joined to components.
-* A bucket whose members still lie in several components is taken up again: the members outside the
-  bucket's largest component are compared with those of other components, block by block, by their
-  signatures, and what may reach the threshold is confirmed. Links within a component cannot change
-  it and are not looked for.
+* Buckets whose members still lie in several components are taken up again, all buckets of a leader
+  together: members outside the largest component are compared with those of other components, block
+  by block, first by signatures, then by full sets where those come near the threshold. Links within
+  a component cannot change it and are not looked for.
 
 Texts meet their partners in sorted streams, one leader's set at a time: no group is held whole.
 """
@@ -32,9 +32,9 @@ from signalwatch.llm.common import BASE, components, mixed, picked, settle, word
 
 BANDS = 40
 PERMUTATIONS_PER_BAND = 2
-#: Rows of one block when members of a bucket are compared by signature.
-BLOCK = 1000
-#: How far below the threshold a signature's estimate may lie (over four deviations at 160 values).
+#: Documents of one block when members of a leader's buckets are compared.
+BLOCK = 500
+#: How far below the threshold a signature's estimate may lie: over four deviations at 160 values.
 SLACK = 0.14
 
 
@@ -64,23 +64,32 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int = 80) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _signer(bands: int, per_band: int, width: int):
-    factors = np.random.default_rng(7).integers(0, 2**63, bands * per_band, np.uint64) \
+def _factors(bands: int, per_band: int) -> np.ndarray:
+    return np.random.default_rng(7).integers(0, 2**63, bands * per_band, np.uint64) \
         * np.uint64(2) + np.uint64(1)
 
-    def signature(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        # an odd factor turns well mixed hashes into another order: one permutation
-        low = np.full(len(factors), 2**64 - 1, np.uint64)
-        high = np.zeros(len(factors), np.uint64)
-        for begin in range(0, len(hashes), 4096):
-            turned = factors[:, None] * hashes[None, begin:begin + 4096]
-            np.minimum(low, turned.min(1), out=low)
-            np.maximum(high, turned.max(1), out=high)
-        values = np.stack([mixed(low), mixed(high)], 1).reshape(bands, 2 * per_band)
-        keys = np.arange(1, bands + 1, dtype=np.uint64)
-        for column in values.T:
-            keys = mixed(keys * np.uint64(BASE) + column)
-        return keys, values
+
+def signature(hashes: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """The least and the greatest hash of a set under each permutation, in two columns."""
+    # an odd factor turns well mixed hashes into another order: one permutation
+    low = np.full(len(factors), 2**64 - 1, np.uint64)
+    high = np.zeros(len(factors), np.uint64)
+    for begin in range(0, len(hashes), 4096):
+        turned = factors[:, None] * hashes[None, begin:begin + 4096]
+        np.minimum(low, turned.min(1), out=low)
+        np.maximum(high, turned.max(1), out=high)
+    return np.stack([mixed(low), mixed(high)], 1)
+
+
+def band_keys(values: np.ndarray, bands: int) -> np.ndarray:
+    keys = np.arange(1, bands + 1, dtype=np.uint64)
+    for column in values.reshape(bands, -1).T:
+        keys = mixed(keys * np.uint64(BASE) + column)
+    return keys
+
+
+def _signer(bands: int, per_band: int, width: int):
+    factors = _factors(bands, per_band)
 
     def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -88,13 +97,11 @@ def _signer(bands: int, per_band: int, width: int):
             for doc_id, text in zip(batch.doc_id, batch.text):
                 hashes = shingle_hashes(text, width)
                 if not len(hashes):
-                    rows.append((doc_id, 0, b"", [], b""))
+                    rows.append((doc_id, 0, b"", []))
                     continue
-                keys, values = signature(hashes)
                 rows.append((doc_id, len(hashes), xxhash.xxh3_128_digest(hashes.tobytes()),
-                             keys.view(np.int64),
-                             values.astype(np.uint8).tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "digest", "keys", "signature"])
+                             band_keys(signature(hashes, factors), bands).view(np.int64)))
+            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "digest", "keys"])
 
     return signed
 
@@ -133,28 +140,24 @@ def confirmed_links(pairs: DataFrame, texts: DataFrame, width: int = 2,
     )
 
 
-def _near_by_signature(slack: float, percent: int):
-    least = percent / 100 - slack
+def _links_between(width: int, percent: int, factors: np.ndarray):
+    least = percent / 100 - SLACK
 
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
-        stray = group[group.stray]
-        rest = group[~group.stray]
+    def links(group: pd.DataFrame) -> pd.DataFrame:
+        sets = [shingle_hashes(t, width) for t in group.text]
+        signs = np.stack([signature(s, factors).astype(np.uint8).ravel() for s in sets])
+        sizes, ids = np.array([len(s) for s in sets]), group.doc_id.to_numpy()
+        labels, stray = group.label.to_numpy(), group.stray.to_numpy()
         out = []
-        if len(stray) and len(rest):
-            y = np.stack([np.frombuffer(s, np.uint8) for s in rest.signature])
-            ids, labels = rest.doc_id.to_numpy(), rest.label.to_numpy()
-            sizes = rest.n_shingles.to_numpy()
-            for doc_id, label, n, signature in zip(stray.doc_id, stray.label, stray.n_shingles,
-                                                   stray.signature):
-                fit = (labels != label) & (100 * np.minimum(n, sizes)
-                                           >= percent * np.maximum(n, sizes))
-                if fit.any():
-                    same = (y[fit] == np.frombuffer(signature, np.uint8)).mean(1)
-                    out += [(min(doc_id, other), max(doc_id, other))
-                            for other in ids[fit][same >= least]]
-        return pd.DataFrame(sorted(set(out)), columns=["a", "b"]).astype("int64")
-
-    return pairs
+        for x in np.flatnonzero(stray):
+            fit = np.flatnonzero(~stray & (labels != labels[x]) & (
+                100 * np.minimum(sizes[x], sizes) >= percent * np.maximum(sizes[x], sizes)))
+            for y in fit[(signs[fit] == signs[x]).mean(1) >= least]:
+                if similar(sets[x], sets[y], percent):
+                    out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return links
 
 
 def near_duplicates(documents: DataFrame, percent: int = 80, width: int = 2,
@@ -174,8 +177,8 @@ def near_duplicates(documents: DataFrame, percent: int = 80, width: int = 2,
     texts = picked(documents, doc_id="long", text="string")
     signed = settle(
         texts.mapInPandas(_signer(bands, per_band, width),
-                          "doc_id long, n_shingles long, digest binary, keys array<long>,"
-                          " signature binary"), "dedup-signed")
+                          "doc_id long, n_shingles long, digest binary, keys array<long>"),
+        "dedup-signed")
     empty = signed.where("n_shingles = 0").select("doc_id").distinct()
     classes = signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
     members = settle(
@@ -201,39 +204,36 @@ def near_duplicates(documents: DataFrame, percent: int = 80, width: int = 2,
     links = settle(confirmed_links(first, texts, width, percent).distinct(), "dedup-links")
     labels = components(links)
 
-    # buckets that still hold several components
-    placed = shared.where("n > 2").select("key", "doc_id").join(
-        labels.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
-        .select("key", "doc_id", F.coalesce("component", "doc_id").alias("label"))
-    placed = settle(placed, "dedup-placed")
-    parts = placed.groupBy("key", "label").agg(F.count("*").alias("size"))
-    open_keys = parts.groupBy("key").agg(
-        F.max_by("label", F.struct("size", "label")).alias("main"),
-        F.count("*").alias("parts"), F.sum("size").alias("size")).where("parts > 1")
-    active = placed.join(open_keys.select("key", "main", "size"), "key") \
-        .withColumn("stray", F.col("label") != F.col("main"))
-    active = active.join(signed.select("doc_id", "n_shingles", "signature"), "doc_id")
-    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK)).cast("long")
-    # every stray meets every block of its bucket; both sides of a meeting are bounded blocks
+    # buckets that still hold several components; all buckets of one leader are one group
+    placed = settle(
+        shared.where("n > 2").select("key", F.col("second").alias("lead"), "doc_id").join(
+            labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .select("key", "lead", "doc_id", F.coalesce("component", "doc_id").alias("label")),
+        "dedup-placed")
+    unsettled = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")) \
+        .where("x <> y").select("key")
+    active = settle(placed.join(unsettled, "key", "left_semi")
+                    .select("lead", "doc_id", "label").distinct(), "dedup-active")
+    groups = active.groupBy("lead", "label").agg(F.count("*").alias("size")) \
+        .groupBy("lead").agg(F.max_by("label", F.struct("size", "label")).alias("main"),
+                             F.sum("size").alias("size"))
+    # every stray meets every block of its group; both sides of a meeting are bounded blocks
     n_blocks = F.ceil(F.col("size") / BLOCK).cast("long")
-    blocks = F.sequence(F.lit(0).cast("long"), n_blocks - 1)
-    own = active.select("key", "doc_id", "label", "n_shingles", "signature",
-                        block.alias("mine"), blocks.alias("blocks"), "stray")
-    as_rest = own.select("key", "doc_id", "label", "n_shingles", "signature",
-                         F.col("mine").alias("y"), F.explode("blocks").alias("x"),
-                         F.lit(False).alias("stray"))
-    as_stray = own.where("stray").select("key", "doc_id", "label", "n_shingles", "signature",
-                                         F.explode("blocks").alias("y"), F.col("mine").alias("x"),
-                                         F.lit(True).alias("stray")).select(as_rest.columns)
-    stray_blocks = own.where("stray").select("key", F.col("mine").alias("x")).distinct()
-    meet = as_rest.join(stray_blocks, ["key", "x"], "left_semi").unionByName(as_stray)
-    later = (
-        meet.groupBy("key", "x", "y").applyInPandas(_near_by_signature(SLACK, percent),
-                                                    "a long, b long")
-        .distinct().join(first, ["a", "b"], "left_anti")
-    )
-    more = settle(confirmed_links(settle(later, "dedup-later"), texts, width, percent).distinct(),
-                  "dedup-more")
+    dealt = active.where("doc_id <> lead").join(groups, "lead").select(
+        "lead", "doc_id", "label", (F.col("label") != F.col("main")).alias("stray"),
+        F.pmod(F.xxhash64("doc_id"), n_blocks).alias("mine"),
+        F.sequence(F.lit(0).cast("long"), n_blocks - 1).alias("blocks"))
+    stray_blocks = dealt.where("stray").select("lead", F.col("mine").alias("x")).distinct()
+    rest = dealt.select("lead", "doc_id", "label", F.col("mine").alias("y"),
+                        F.explode("blocks").alias("x"), F.lit(False).alias("stray")) \
+        .join(stray_blocks, ["lead", "x"], "left_semi")
+    strays = dealt.where("stray").select("lead", "doc_id", "label", F.explode("blocks").alias("y"),
+                                         F.col("mine").alias("x"), "stray")
+    more = settle(
+        rest.unionByName(strays).join(texts, "doc_id")
+        .groupBy("lead", "x", "y")
+        .applyInPandas(_links_between(width, percent, _factors(bands, per_band)), "a long, b long")
+        .distinct(), "dedup-more")
     every = links.union(more)
     whole = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
                        .union(more), "components-all")
