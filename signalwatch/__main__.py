@@ -19,6 +19,8 @@ def _options(arguments: Sequence[str] | None) -> argparse.Namespace:
                         help="file name of a source table, e.g. orders=my_orders.csv")
     parser.add_argument("--quarantine", action="store_true",
                         help="set bad rows aside instead of failing")
+    parser.add_argument("--multiline", action="store_true",
+                        help="allow line breaks in quoted CSV fields; files are not split")
     parser.add_argument("--reuse", action="store_true",
                         help="keep the star schema an earlier run built under TARGET")
     parser.add_argument("--standalone", action="store_true",
@@ -39,7 +41,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         warehouse = reopen(spark, f"{options.target}/star")
     else:
         warehouse = retail_run.load(spark, options.source, options.target, names,
-                                    strict=not options.quarantine)
+                                    strict=not options.quarantine, multiline=options.multiline)
     retail_run.loaded(warehouse).show(truncate=False)
 
     forest = models.random_forest_standalone if options.standalone else models.random_forest
@@ -48,7 +50,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
         "boosted_trees": lambda: models.boosted_trees(rounds=options.rounds),
     }
     if options.standalone:
-        trends = retail_run.search_file(spark, f"{options.source}/{names['trends']}")
+        trends = retail_run.search_file(
+            spark, f"{options.source}/{names['trends']}",
+            f"{options.target}/rejected/search" if options.quarantine else None, options.multiline)
         outcome = retail_run.analyse_standalone(warehouse, trends, options.target, chosen)
     else:
         outcome = retail_run.analyse(warehouse, options.target, chosen)

@@ -46,14 +46,21 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
-def checked(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Each row as ``typed`` values, its ``problems`` and, if it has any, the ``raw`` row."""
+def checked(df: DataFrame, schema: T.StructType, corrupt: str = "_corrupt_record") -> DataFrame:
+    """Each row as ``typed`` values, its ``problems`` and, if it has any, the ``raw`` row.
+
+    A row whose column ``corrupt`` is set, if there is such a column, has that as its one problem:
+    its other values cannot be trusted.
+    """
     typed = {f.name: _typed(f, df.schema[f.name].dataType, strict=False) for f in schema.fields}
     problems = F.array_compact(F.array(*[
         F.when(F.col(name).isNotNull() & value.isNull(), F.lit(name))
         for name, value in typed.items()
     ]))
     raw = F.struct(*schema.fieldNames())
+    if corrupt in df.columns:
+        problems = F.when(F.col(corrupt).isNotNull(), F.array(F.lit(corrupt))).otherwise(problems)
+        raw = F.struct(*schema.fieldNames(), corrupt)
     return df.select(
         F.struct(*[value.alias(name) for name, value in typed.items()]).alias("typed"),
         F.when(F.size(problems) > 0, raw).alias("raw"),

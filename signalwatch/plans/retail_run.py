@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from signalwatch import constants as C
 from signalwatch.operators import alerts
 from signalwatch.operators.daily import items_analysed
-from signalwatch.operators.quality import conform, load_counts
+from signalwatch.operators.quality import conform, load_counts, quarantine
 from signalwatch.plans import features, models, reports
 from signalwatch.plans.warehouse import Warehouse, build
 from signalwatch.schemas import STAGING
@@ -31,9 +31,10 @@ class Outcome:
 
 
 def load(spark: SparkSession, folder: str, target: str,
-         names: Mapping[str, str] = staging.SOURCE_FILES, strict: bool = True) -> Warehouse:
+         names: Mapping[str, str] = staging.SOURCE_FILES, strict: bool = True,
+         multiline: bool = False) -> Warehouse:
     """Stage the source files and build the star schema under ``target``."""
-    staged = staging.stage(spark, folder, f"{target}/staging", names, strict)
+    staged = staging.stage(spark, folder, f"{target}/staging", names, strict, multiline)
     warehouse = build(spark, staged, f"{target}/star", C.DELIVERED)
     # later inserts arrive here and are audited; the load above is not
     create_increments(spark, f"{target}/increments")
@@ -71,15 +72,25 @@ def analyse(warehouse: Warehouse, target: str, chosen: dict[str, Callable] | Non
     return Outcome(w, daily, _report(analysed, daily, C.ALERT_WEIGHTS, found, target))
 
 
-def search_file(spark: SparkSession, path: str) -> DataFrame:
-    """The search CSV, with its period number if it has one."""
+def search_file(spark: SparkSession, path: str, rejected: str | None = None,
+                multiline: bool = False) -> DataFrame:
+    """The search CSV (plain or zipped), with its period number if it has one.
+
+    Fails on a bad row, or sets bad rows aside under ``rejected`` if that is given.
+    """
     columns = STAGING["trends"].fieldNames()
-    keyed = "time_sk" in files.csv_columns(spark, path)
-    raw = files.scan_csv(spark, path, [*columns, "time_sk"] if keyed else columns)
+    paths = files.plain_csv(spark, path)
+    keyed = "time_sk" in files.csv_columns(spark, paths, multiline)
+    raw = files.scan_plain_csv(spark, paths, [*columns, "time_sk"] if keyed else columns, multiline,
+                               strict=rejected is None)
     schema = T.StructType([*STAGING["trends"].fields])
     if keyed:
         schema = schema.add("time_sk", T.LongType())
-    return conform(raw, schema)
+    if rejected is None:
+        return conform(raw, schema)
+    good, bad = quarantine(raw, schema)
+    save(bad, rejected)
+    return good
 
 
 def analyse_standalone(warehouse: Warehouse, trends: DataFrame, target: str,

@@ -25,25 +25,28 @@ SOURCE_FILES = {
 
 
 def raw_table(spark: SparkSession, folder: str, table: str,
-              names: Mapping[str, str] = SOURCE_FILES) -> DataFrame:
+              names: Mapping[str, str] = SOURCE_FILES, strict: bool = True,
+              multiline: bool = False) -> DataFrame:
     """The columns a staging table needs, as text: conforming happens in one place."""
     path, columns = f"{folder}/{names[table]}", STAGING[table].fieldNames()
     if path.endswith((".json", ".jsonl")):
         text = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-        return scan_json(spark, path, text, array=path.endswith(".json"))
-    return scan_csv(spark, path, columns)
+        return scan_json(spark, path, text, array=path.endswith(".json"), strict=strict)
+    return scan_csv(spark, path, columns, multiline, strict)
 
 
 def stage(spark: SparkSession, folder: str, target: str,
           names: Mapping[str, str] = SOURCE_FILES,
-          strict: bool = True) -> dict[str, DataFrame]:
+          strict: bool = True, multiline: bool = False) -> dict[str, DataFrame]:
     """Drop and recreate every staging table under ``target`` from the files in ``folder``.
 
-    ``strict`` fails on the first bad value; otherwise bad rows go to
-    ``<target>/rejected/<table>`` with the names of their bad columns.
+    ``strict`` fails on the first bad value or record; otherwise bad rows go to
+    ``<target>/rejected/<table>`` with the names of their bad columns, and records that do not fit
+    their file's header as they were. ``multiline`` allows line breaks in quoted CSV fields.
     """
     def load(table: str) -> DataFrame:
-        schema, raw = STAGING[table], raw_table(spark, folder, table, names)
+        schema, raw = STAGING[table], raw_table(spark, folder, table, names, strict,
+                                                   multiline)
         if strict:
             return save(conform(raw, schema), f"{target}/{table}")
         # stored once, so that the files are read and parsed once for both parts

@@ -37,8 +37,7 @@ def test_zip_is_preferred_and_decoded(spark, tmp_path):
     assert set(rows(scanned)) == {("x", "1"), ("y", "2"), (None, None)}
 
 
-def test_many_archives_and_row_batches(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(files, "_ZIP_ROWS", 7)
+def test_many_archives(spark, tmp_path):
     folder = tmp_path / "t.csv.zip"
     folder.mkdir()
     for part in range(3):
@@ -48,6 +47,76 @@ def test_many_archives_and_row_batches(spark, tmp_path, monkeypatch):
     assert rows(got) == sorted(((f"{p}-{i}",) for p in range(3) for i in range(50)), key=str)
 
 
+def test_archive_member_by_name(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "z.csv.zip", "w") as archive:
+        archive.writestr("old_copy.csv", "a\nold\n")
+        archive.writestr("LEIAME.txt", "read me")
+        archive.writestr("folder/z.csv", "a\nnew\n")
+    assert rows(files.scan_csv(spark, str(tmp_path / "z.csv"), ["a"])) == [("new",)]
+    with zipfile.ZipFile(tmp_path / "y.csv.zip", "w") as archive:
+        archive.writestr("one.csv", "a\n1\n")
+        archive.writestr("two.csv", "a\n2\n")
+    with pytest.raises(Exception, match="which of"):
+        files.scan_csv(spark, str(tmp_path / "y.csv"), ["a"])
+
+
+SELLERS = "seller_id,seller_city,seller_state\n"
+
+
+def test_files_with_columns_in_another_order_fail(spark, tmp_path):
+    folder = tmp_path / "sellers.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text(SELLERS + "s1,Rome,IT\n")
+    (folder / "b.csv").write_text("seller_city,seller_id,seller_state\nParis,s2,FR\n")
+    for strict in (True, False):
+        with pytest.raises(Exception, match="CSV header|FAILED_READ_FILE"):
+            files.scan_csv(spark, str(folder), ["seller_id", "seller_city"], strict=strict).collect()
+
+
+@pytest.mark.parametrize("bad", ["s2,Paris,IDF,EXTRA", "s3", 's4,"New\nYork",NY'])
+def test_records_that_do_not_fit_the_header(spark, tmp_path, bad):
+    (tmp_path / "sellers.csv").write_text(SELLERS + f"s1,Rome,IT\n{bad}\ns9,Oslo,NO\n")
+    names = ["seller_id", "seller_city"]
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        files.scan_csv(spark, str(tmp_path / "sellers.csv"), names).collect()
+    raw_rows = staging.raw_table(spark, str(tmp_path), "sellers", strict=False)
+    good, rejects = quarantine(raw_rows, STAGING["sellers"])
+    assert rows(good) == [("s1", "Rome", "IT"), ("s9", "Oslo", "NO")]
+    kept = {r["_corrupt_record"] for r in rejects.collect()}
+    assert kept == set(bad.split("\n"))
+    assert all(r.problems == ["_corrupt_record"] for r in rejects.collect())
+
+
+def test_line_break_in_a_field_through_staging(spark, tmp_path):
+    (tmp_path / "sellers.csv").write_text(SELLERS + 's4,"New\nYork",NY\n')
+    found = staging.raw_table(spark, str(tmp_path), "sellers", multiline=True)
+    assert rows(found) == [("s4", "New\nYork", "NY")]
+
+
+def test_zipped_search_file_and_its_bad_rows(spark, tmp_path):
+    from signalwatch.plans.retail_run import search_file
+
+    with zipfile.ZipFile(tmp_path / "trends.csv.zip", "w") as archive:
+        archive.writestr("trends.csv", f"full_date,time_sk,{CATEGORY},search_volume\n"
+                         "2024-01-01,1,a,5.5\n2024-01-02,2,a\n2024-01-03,3,a,much\n")
+    path = str(tmp_path / "trends.csv")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|CAST_INVALID"):
+        search_file(spark, path).collect()
+    good = search_file(spark, path, rejected=str(tmp_path / "bad"))
+    assert [(str(r.full_date), r.time_sk, r.search_volume) for r in good.collect()] == [
+        ("2024-01-01", 1, Decimal("5.50"))]
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 2
+
+
+def test_broken_json_can_be_set_aside(spark, tmp_path):
+    path = tmp_path / "r.jsonl"
+    path.write_text('{"a": 1}\n{"a": \n')
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    good, bad = quarantine(files.scan_json(spark, str(path), schema, array=False, strict=False),
+                           schema)
+    assert rows(good) == [(1,)] and [r["_corrupt_record"] for r in bad.collect()] == ['{"a": ']
+
+
 def test_missing_file_and_missing_column_fail(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         files.scan_csv(spark, str(tmp_path / "none.csv"), ["a"])
