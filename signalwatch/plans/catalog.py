@@ -446,6 +446,36 @@ def run_summary(spark, folder):
     ))
 
 
+def linear_comparison(spark, folder):
+    """The comparison of a model that SQL can fit too."""
+    found = models.evaluate(_daily_features(spark, folder), ("moving_avg_3",),
+                            {"linear": models.linear})
+    return shown(found.comparison)
+
+
+def model_checks(spark, folder):
+    """What holds for the comparison of any models, whatever their scores."""
+    found = _evaluation(spark, folder)
+    importance = found.importance.agg(
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("importance_adds_up"),
+        (F.min("importance") >= 0).alias("importance_not_negative"))
+    compared = found.comparison.agg(
+        (F.count_if("winner") == 1).alias("one_winner"),
+        (F.max(F.when(F.col("winner"), F.col("r2"))) == F.max("r2")).alias("winner_is_best"),
+        F.bool_and(F.abs(F.col("train_r2") - F.col("r2") - F.col("gap")) < 1e-12).alias("gap_agrees"),
+        F.bool_and((F.col("gap") < C.HEALTHY_GAP) == F.col("healthy")).alias("healthy_agrees"),
+        F.bool_and((F.col("r2") >= C.TARGET_R2) == F.col("meets_target")).alias("target_agrees"))
+    scores = found.folds.agg((F.count("*") == 2 * C.FOLDS).alias("all_folds"))
+    return compared.join(importance).join(scores)  # three tables of one row
+
+
+def run_volumes(spark, folder):
+    """The counts of the run summary."""
+    counted = _analysed(spark, folder).select("rows_analysed")
+    n_categories = _daily_features(spark, folder).agg(F.count_distinct(CATEGORY).alias("categories"))
+    return shown(counted.select("rows_analysed", n_categories.scalar().alias("categories")))
+
+
 # --- audit ------------------------------------------------------------------------------------------
 
 
@@ -497,6 +527,24 @@ def csv_roundtrip(spark, folder):
     return shown(quality.conform(raw, STAGING["trends"]))
 
 
+def csv_malformed(spark, folder):
+    """Sellers as CSV lines, some with a field too many or too few: which are set aside."""
+    place = f"{fresh_path(spark, 'csv')}/sellers.csv"
+    sellers = retail_tables.staging(spark, folder)["sellers"]
+    number = F.col("seller_id").cast("long")
+    line = F.when(number % 10 == 0, F.concat_ws(",", *sellers.columns, F.lit("EXTRA"))) \
+        .when(number % 10 == 1, F.col("seller_id").cast("string")).otherwise(F.concat_ws(",", *sellers.columns))
+    header = ",".join(sellers.columns)
+    sellers.select(line.alias(header)).write.option("header", True).option("quote", "") \
+        .option("escapeQuotes", False).option("sep", "\t").csv(place)
+    raw = files.scan_csv(spark, place, sellers.columns, strict=False)
+    text = T.StructType([T.StructField(name, T.StringType()) for name in sellers.columns])
+    good, bad = quality.quarantine(raw, text)
+    return good.select(F.concat_ws(",", *sellers.columns).alias("line"),
+                       F.lit(False).alias("rejected")).unionByName(
+        bad.select(F.col(files.CORRUPT).alias("line"), F.lit(True).alias("rejected")))
+
+
 def json_roundtrip(spark, folder):
     """Review records with day number and profile written to JSON, and read back."""
     w = warehouse(spark, folder)
@@ -608,9 +656,13 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
     "zip_csv_scan": zip_csv_scan,
+    "csv_malformed": csv_malformed,
     "staging_conform": staging_conform,
     "staging_quarantine": staging_quarantine,
     "model_comparison": model_comparison,
     "feature_importance": feature_importance,
     "run_summary": run_summary,
+    "linear_comparison": linear_comparison,
+    "model_checks": model_checks,
+    "run_volumes": run_volumes,
 }

@@ -9,7 +9,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,18 +19,18 @@ from signalwatch.operators.splits import POSITION, fold_ranges, in_time_order
 from signalwatch.plans.features import model_rows
 
 
-# Statistics of this many MB of tree nodes are gathered per pass over the rows: deep
-# forests take fewer passes than with Spark's default of 256.
-_NODE_MB = 1024
-# rows per partition of the training rows
-_LEAST_ROWS, _MOST_ROWS = 20_000, 100_000
+#: Partitions of the training rows. MLlib samples rows by partition, so the number is part of a
+#: model's definition: it depends neither on the cluster nor on the rows. Raise it for large data.
+TRAINING_PARTS = 8
+#: Most values of a feature that a split can tell apart; category codes need one each.
+BINS = 256
 
 
 def random_forest(trees: int = 300, depth: int = 15, leaf_rows: int = 1,
-                  columns: str = "all", seed: int = 42) -> RandomForestRegressor:
+                  columns: str = "all", seed: int = 42, bins: int = BINS) -> RandomForestRegressor:
     return RandomForestRegressor(
         labelCol=C.LABEL, numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf_rows,
-        featureSubsetStrategy=columns, seed=seed, maxMemoryInMB=_NODE_MB,
+        featureSubsetStrategy=columns, seed=seed, maxBins=bins,
     )
 
 
@@ -41,11 +41,11 @@ def random_forest_standalone(trees: int = 300, depth: int = 15, seed: int = 42
 
 
 def boosted_trees(rounds: int = 400, depth: int = 5, rate: float = 0.08,
-                  row_share: float = 0.85, columns: str = "0.85", seed: int = 42
-                  ) -> GBTRegressor:
+                  row_share: float = 0.85, columns: str = "0.85", seed: int = 42,
+                  bins: int = BINS) -> GBTRegressor:
     return GBTRegressor(
         labelCol=C.LABEL, maxIter=rounds, maxDepth=depth, stepSize=rate,
-        subsamplingRate=row_share, featureSubsetStrategy=columns, seed=seed,
+        subsamplingRate=row_share, featureSubsetStrategy=columns, seed=seed, maxBins=bins,
     )
 
 
@@ -53,16 +53,16 @@ def default_models() -> dict[str, Callable]:
     return {"random_forest": random_forest, "boosted_trees": boosted_trees}
 
 
-def assembled(ordered: DataFrame, names: Sequence[str], n_rows: int) -> DataFrame:
-    """Position, label and feature vector of each row.
+def linear(seed: int = 42) -> LinearRegression:
+    """Least squares, solved exactly: a plain model to hold others against."""
+    return LinearRegression(labelCol=C.LABEL, solver="normal")
 
-    The rows are spread evenly and in a fixed order, over all cores if there are enough
-    of them, so that row sampling repeats from run to run.
-    """
+
+def assembled(ordered: DataFrame, names: Sequence[str], parts: int = TRAINING_PARTS) -> DataFrame:
+    """Position, label and feature vector of each row, in ``parts`` partitions and a fixed order,
+    so that row sampling repeats from run to run and from cluster to cluster."""
     vector = VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="error")
     rows = vector.transform(ordered.withColumn(C.LABEL, F.col(C.LABEL).cast("double")))
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    parts = min(max(cores, n_rows // _MOST_ROWS), n_rows // _LEAST_ROWS + 1)
     return (
         rows.select(POSITION, C.LABEL, "features")
         .repartition(parts, POSITION)
@@ -88,17 +88,18 @@ def _score(model: Model, rows: DataFrame) -> tuple[float, float]:
 
 def evaluate(features: DataFrame, names: Sequence[str] = C.FEATURES,
              models: dict[str, Callable] | None = None, folds: int = C.FOLDS,
-             select_by: str = "r2", parallel: int = 8) -> Evaluation:
+             select_by: str = "r2", parallel: int = 4, parts: int = TRAINING_PARTS) -> Evaluation:
     """Fit each model on the first 80 % of the rows and on every fold's past.
 
     The numbered rows are stored once; a fold is a filter on the position, not a copy.
     ``select_by`` names the winning score: ``r2`` on the test rows or ``cv_mean``.
-    Fits run ``parallel`` at a time, each distributed by Spark.
+    Fits run ``parallel`` at a time, each distributed by Spark; each may hold statistics of tree
+    nodes of Spark's default of 256 MB in every task.
     """
     spark = features.sparkSession
     ordered = in_time_order(model_rows(features, tuple(names)))
     n_rows = ordered.count()
-    rows = assembled(ordered, names, n_rows).persist()
+    rows = assembled(ordered, names, parts).persist()
     try:
         cut = int(n_rows * C.TRAIN_SHARE)
         position = F.col(POSITION)
@@ -145,7 +146,8 @@ def evaluate(features: DataFrame, names: Sequence[str] = C.FEATURES,
     )
     winner = comparison.orderBy(F.col(select_by).desc(), "model_order").first()["model"]
     model = next(m for name, part, _, _, _, m in done if name == winner and part == "holdout")
-    weights = [(n, float(w)) for n, w in zip(names, model.featureImportances.toArray())]
+    found = getattr(model, "featureImportances", None)  # of trees only
+    weights = [] if found is None else [(n, float(w)) for n, w in zip(names, found.toArray())]
     importance = spark.createDataFrame(weights, "feature string, importance double")
     marked = comparison.withColumn("winner", F.col("model") == F.lit(winner)).drop("model_order")
     return Evaluation(marked, fold_scores, winner, importance, model)

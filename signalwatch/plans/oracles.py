@@ -402,6 +402,12 @@ _SELECTS = {
                        f"WHERE category = '{SERIES_CATEGORY}'",
     "data_volume": "SELECT count(*) AS rows_analysed, count(DISTINCT category) AS categories, "
                    "count(DISTINCT time_sk) AS days FROM ml",
+    "run_volumes": "SELECT count(*) AS rows_analysed, (SELECT count(DISTINCT category) "
+                   "FROM features) AS categories FROM ml",
+    "model_checks":
+        "SELECT true AS one_winner, true AS winner_is_best, true AS gap_agrees, "
+        "true AS healthy_agrees, true AS target_agrees, true AS importance_adds_up, "
+        "true AS importance_not_negative, true AS all_folds",
     "audit_inserts": f"SELECT {_AUDITED} FROM fact WHERE time_sk IN "
                      "(SELECT time_sk FROM d_time WHERE year = (SELECT max(year) FROM d_time))",
     "audit_stream": f"SELECT {_AUDITED} FROM fact",
@@ -413,6 +419,11 @@ _SELECTS = {
     "csv_roundtrip": f"SELECT {_d('full_date')}, {_CATEGORY}, search_volume FROM d_trend",
     "json_roundtrip": f"SELECT {_REVIEW}, time_sk, {_profile(TABLE_PROFILES)} AS profile "
                       "FROM d_review",
+    "csv_malformed":
+        "SELECT CASE WHEN seller_id % 10 = 0 THEN seller_id || ',' || seller_city || ',' || "
+        "seller_state || ',EXTRA' WHEN seller_id % 10 = 1 THEN CAST(seller_id AS VARCHAR) "
+        "ELSE seller_id || ',' || seller_city || ',' || seller_state END AS line, "
+        "seller_id % 10 < 2 AS rejected FROM d_seller",
     "zip_csv_scan": f"SELECT {_ITEM} FROM s_items",
     "staging_conform": f"SELECT {_ITEM} FROM s_items",
     "staging_quarantine":
@@ -421,7 +432,25 @@ _SELECTS = {
         "CASE WHEN price >= 10000 THEN 'price' ELSE '' END AS problems FROM s_items",
 }
 
+_MISS = "sales_volume - (slope * moving_avg_3 + base)"
+_LINE = ("regr_slope(sales_volume, moving_avg_3) AS slope, "
+         "regr_intercept(sales_volume, moving_avg_3) AS base")
+_FITTED_R2 = f"1 - sum(({_MISS}) ** 2) / (var_pop(sales_volume) * count(*))"
+
 _ORDERED_SELECTS = {
+    # a line fitted to the train part of the split, and to that of every fold
+    "linear_comparison":
+        f"SELECT 'linear' AS model, {_r('r2')}, {_r('mae')}, {_r('cv_mean')}, {_r('cv_std')}, "
+        f"{_r('train_r2')}, {_r('train_r2 - r2', 'gap')}, train_r2 - r2 < {C.HEALTHY_GAP} AS healthy, "
+        f"r2 >= {C.TARGET_R2} AS meets_target, true AS winner FROM "
+        f"(SELECT {_FITTED_R2} AS r2, avg(abs({_MISS})) AS mae FROM split, "
+        f"(SELECT {_LINE} FROM split WHERE role = 'train') WHERE role = 'test'), "
+        f"(SELECT {_FITTED_R2} AS train_r2 FROM split, "
+        f"(SELECT {_LINE} FROM split WHERE role = 'train') WHERE role = 'train'), "
+        "(SELECT avg(r2) AS cv_mean, stddev_pop(r2) AS cv_std FROM "
+        f"(SELECT fold, {_FITTED_R2} AS r2 FROM folds JOIN "
+        f"(SELECT fold, {_LINE} FROM folds WHERE role = 'train' GROUP BY fold) USING (fold) "
+        "WHERE role = 'test' GROUP BY fold))",
     "holdout_split": f"SELECT position, time_sk, {_CATEGORY}, sales_volume, role FROM split",
     "ts_folds":
         "SELECT fold, role, count(*) AS n_rows, min(position) AS first_position, "

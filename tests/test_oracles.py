@@ -4,7 +4,10 @@ import __spark_entry__ as entry
 from compare import connect, difference
 from conftest import DATA
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from signalwatch.plans.catalog import QUERIES
+from signalwatch.plans.oracles import oracles
+
+SQL = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +16,8 @@ def duck():
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(QUERIES) - set(SQL) == {"model_comparison", "feature_importance", "run_summary"}
 
 
