@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 from signalwatch.llm.common import mixed, picked, word_spans
 
 #: At most so many labelled documents of each quality are fitted on, the first by hash of doc_id.
-FIT_DOCUMENTS = 2000
-#: Lines of a fitting document that are learned from: at most so many, from its start.
-FIT_LINES = 400
+FIT_DOCUMENTS = 1000
+#: Lines of a fitting document that are learned from: at most so many, from its start, in chains
+#: of at most so many.
+FIT_LINES = 192
+FIT_CHAIN = 24
 #: Least share of a document's words in content lines.
 LEAST_CONTENT = 0.5
 FEWEST_WORDS = 10
@@ -172,7 +174,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.5)
     return w
 
 
-def fit(texts: list[np.ndarray], good: list[bool], steps: int = 200, rate: float = 0.3) -> Crf:
+def fit(texts: list[np.ndarray], good: list[bool], steps: int = 150, rate: float = 0.3) -> Crf:
     """Fit on the feature rows of texts and whether their documents are good."""
     texts, good = zip(*[(t[:FIT_LINES], g) for t, g in zip(texts, good) if len(t)]) \
         if any(map(len, texts)) else ((), ())
@@ -187,15 +189,18 @@ def fit(texts: list[np.ndarray], good: list[bool], steps: int = 200, rate: float
     likely = 1 / (1 + np.exp(-np.clip(rows @ w, -30, 30)))
     labels = np.where(of_good, likely > 0.1, likely > 0.9).astype(np.int64)
 
-    longest = max(map(len, texts))
-    n = len(texts)
+    chains = []
+    at = 0
+    for t in texts:
+        chains += [slice(at + k, at + min(k + FIT_CHAIN, len(t))) for k in range(0, len(t), FIT_CHAIN)]
+        at += len(t)
+    n, longest = len(chains), FIT_CHAIN
     x = np.zeros((n, longest, d))
     y = np.zeros((n, longest), np.int64)
     real = np.zeros((n, longest), bool)
-    at = 0
-    for k, t in enumerate(texts):
-        x[k, :len(t)], y[k, :len(t)], real[k, :len(t)] = t, labels[at:at + len(t)], True
-        at += len(t)
+    for k, chain in enumerate(chains):
+        size = chain.stop - chain.start
+        x[k, :size], y[k, :size], real[k, :size] = rows[chain], labels[chain], True
     total = real.sum()
     seen_state = np.stack([x[real & (y == s)].sum(0) for s in (0, 1)])
     inner = real[:, 1:]
