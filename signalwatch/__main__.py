@@ -6,9 +6,9 @@ import argparse
 from collections.abc import Sequence
 
 from signalwatch.plans import models, retail_run
-from signalwatch.plans.warehouse import reopen
-from signalwatch.session import session
+from signalwatch.session import session, shuffle_parts
 from signalwatch.sources.staging import SOURCE_FILES
+from signalwatch.storage import size_of
 
 
 def _options(arguments: Sequence[str] | None) -> argparse.Namespace:
@@ -23,13 +23,15 @@ def _options(arguments: Sequence[str] | None) -> argparse.Namespace:
                         help="allow line breaks in quoted CSV fields; files are not split")
     parser.add_argument("--reuse", action="store_true",
                         help="keep the star schema an earlier run built under TARGET")
+    parser.add_argument("--audit", action="store_true",
+                        help="log the inserts that are not logged yet, and summarise the log")
     parser.add_argument("--standalone", action="store_true",
                         help="use sales and the search file only")
     parser.add_argument("--trees", type=int, default=300, help="trees of the random forest")
     parser.add_argument("--depth", type=int, default=15, help="depth of its trees")
     parser.add_argument("--rounds", type=int, default=400, help="boosting rounds")
     parser.add_argument("--partitions", type=int,
-                        help="parts a shuffle starts with, about the input's size over 128 MB")
+                        help="parts a shuffle starts with; else the source's size over 128 MB")
     return parser.parse_args(arguments)
 
 
@@ -37,12 +39,18 @@ def main(arguments: Sequence[str] | None = None) -> None:
     options = _options(arguments)
     names = SOURCE_FILES | dict(pair.split("=", 1) for pair in options.file)
     spark = session(partitions=options.partitions)
+    if not options.partitions:
+        parts = shuffle_parts(size_of(spark, options.source))
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        print(f"shuffles start with {parts} parts")
     if options.reuse:
-        warehouse = reopen(spark, f"{options.target}/star")
+        warehouse = retail_run.reload(spark, options.target)
     else:
         warehouse = retail_run.load(spark, options.source, options.target, names,
                                     strict=not options.quarantine, multiline=options.multiline)
     retail_run.loaded(warehouse).show(truncate=False)
+    if options.audit:
+        retail_run.audit(spark, options.target).show(truncate=False)
 
     forest = models.random_forest_standalone if options.standalone else models.random_forest
     chosen = {

@@ -113,3 +113,22 @@ def require_key(df: DataFrame, key: str) -> DataFrame:
             f"{key} is no primary key: {found['n_null']} missing, {found['n_dup']} repeated"
         )
     return df
+
+
+def require_dense_key(df: DataFrame, key: str) -> DataFrame:
+    """Return ``df`` if ``key`` runs from 1 to the number of rows, each once, else raise.
+
+    One pass of sums, without a shuffle of the keys: as many keys as rows, the least and the greatest,
+    and the sum and the exclusive or of all keys are those of 1 to n.
+    """
+    found = df.agg(
+        F.count("*").alias("n_rows"), F.count(key).alias("n_keys"), F.min(key).alias("least"),
+        F.max(key).alias("most"), F.sum(F.col(key).cast("decimal(38,0)")).alias("total"),
+        F.bit_xor(key).alias("mixed"),
+    ).first()
+    n = found["n_rows"]
+    mixed = (n, 1, n + 1, 0)[n % 4]  # the exclusive or of 1 to n
+    if n and (found["n_keys"], found["least"], found["most"], found["total"], found["mixed"]) != (
+            n, 1, n, n * (n + 1) // 2, mixed):
+        raise ValueError(f"{key} is no primary key from 1 to {n}: {found.asDict()}")
+    return df

@@ -16,7 +16,14 @@ from signalwatch.operators.copies import all_copies
 from signalwatch.operators.daily import daily_sales, items_analysed
 from signalwatch.operators.keys import check_key, dense_key
 from signalwatch.plans import features, models, reports, star
-from signalwatch.plans.warehouse import NATURAL_KEYS, Warehouse, append_sales, build
+from signalwatch.plans.warehouse import (
+    NATURAL_KEYS,
+    Warehouse,
+    append_sales,
+    build,
+    insert_sales,
+    with_increments,
+)
 from signalwatch.schemas import CATEGORY, STAGING
 from signalwatch.sources import files, retail_tables
 from signalwatch.storage import fresh_path
@@ -505,6 +512,20 @@ def audit_log(spark, folder):
     return shown(_streamed_log(spark, folder).select(_AUDITED))
 
 
+def fact_after_insert(spark, folder):
+    """The fact and its audit log after the newest day's sales were inserted once more."""
+    base = warehouse(spark, folder)["fact_sales"]
+    place = fresh_path(spark, "insert")
+    audit_stream.create_increments(spark, f"{place}/increments")
+    newest = base.where(F.col("time_sk") == base.agg(F.max("time_sk").alias("t")).scalar())
+    insert_sales(base, newest.drop("sales_sk"), f"{place}/increments")
+    audit_stream.run_audit(spark, f"{place}/increments", f"{place}/log", f"{place}/checkpoint")
+    logged = audit_stream.read_log(spark, f"{place}/log").agg(
+        F.count("*").alias("n_logged"), F.min("sales_sk").alias("first_logged"))
+    fact = with_increments(spark, base, f"{place}/increments")
+    return check_key(fact, "sales_sk").join(logged)  # two tables of one row
+
+
 def audit_log_numbers(spark, folder):
     """Whether the log's running numbers are gapless and unique."""
     return check_key(audit.numbered_log(_streamed_log(spark, folder)), "log_id")
@@ -650,6 +671,7 @@ QUERIES: dict[str, Query] = {
     "regression_metrics": regression_metrics,
     "overfit_gap": overfit_gap,
     "audit_inserts": audit_inserts,
+    "fact_after_insert": fact_after_insert,
     "audit_stream": audit_log,
     "audit_log_numbers": audit_log_numbers,
     "audit_monitor": audit_monitor,

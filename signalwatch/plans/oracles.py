@@ -408,6 +408,11 @@ _SELECTS = {
         "SELECT true AS one_winner, true AS winner_is_best, true AS gap_agrees, "
         "true AS healthy_agrees, true AS target_agrees, true AS importance_adds_up, "
         "true AS importance_not_negative, true AS all_folds",
+    "fact_after_insert":
+        "SELECT n + m AS n_rows, 0 AS n_null, 0 AS n_dup, '1' AS min_key, "
+        "CAST(n + m AS VARCHAR) AS max_key, m AS n_logged, n + 1 AS first_logged FROM "
+        "(SELECT count(*) AS n, count(*) FILTER (time_sk = (SELECT max(time_sk) FROM fact)) AS m "
+        "FROM fact)",
     "audit_inserts": f"SELECT {_AUDITED} FROM fact WHERE time_sk IN "
                      "(SELECT time_sk FROM d_time WHERE year = (SELECT max(year) FROM d_time))",
     "audit_stream": f"SELECT {_AUDITED} FROM fact",

@@ -11,14 +11,15 @@ from pyspark.sql import types as T
 
 from signalwatch import constants as C
 from signalwatch.operators import alerts
+from signalwatch.operators.audit import audit_monitor
 from signalwatch.operators.daily import items_analysed
 from signalwatch.operators.quality import conform, load_counts, quarantine
 from signalwatch.plans import features, models, reports
-from signalwatch.plans.warehouse import Warehouse, build
+from signalwatch.plans.warehouse import Warehouse, build, insert_sales, reopen, with_increments
 from signalwatch.schemas import STAGING
 from signalwatch.sources import files, staging
-from signalwatch.storage import save, together
-from signalwatch.streaming.audit import create_increments
+from signalwatch.storage import drop, save, together
+from signalwatch.streaming.audit import create_increments, read_log, run_audit
 
 
 @dataclass(frozen=True)
@@ -33,14 +34,42 @@ class Outcome:
 def load(spark: SparkSession, folder: str, target: str,
          names: Mapping[str, str] = staging.SOURCE_FILES, strict: bool = True,
          multiline: bool = False) -> Warehouse:
-    """Stage the source files and build the star schema under ``target``."""
+    """Stage the source files and build the star schema under ``target``.
+
+    Inserts, audit log and checkpoint of an earlier load go: their keys meant other rows.
+    """
     staged = staging.stage(spark, folder, f"{target}/staging", names, strict, multiline)
     warehouse = build(spark, staged, f"{target}/star", C.DELIVERED)
+    for old in ("increments", "audit_log", "audit_checkpoint"):
+        drop(spark, f"{target}/{old}")
     # later inserts arrive here and are audited; the load above is not
     create_increments(spark, f"{target}/increments")
+    return _whole(spark, warehouse, target)
+
+
+def _whole(spark: SparkSession, warehouse: Warehouse, target: str) -> Warehouse:
+    base = warehouse["fact_sales"]
+    warehouse["fact_sales"] = with_increments(spark, base, f"{target}/increments")
     return warehouse
 
 
+def reload(spark: SparkSession, target: str) -> Warehouse:
+    """What an earlier load left under ``target``, with all inserts since."""
+    return _whole(spark, reopen(spark, f"{target}/star"), target)
+
+
+def insert(warehouse: Warehouse, sales: DataFrame, target: str) -> Warehouse:
+    """Insert fact rows without keys; return the tables with them."""
+    insert_sales(warehouse["fact_sales"], sales, f"{target}/increments")
+    return reload(sales.sparkSession, target)
+
+
+def audit(spark: SparkSession, target: str) -> DataFrame:
+    """Log all inserts that are not logged yet; return the summary of the log."""
+    run_audit(spark, f"{target}/increments", f"{target}/audit_log", f"{target}/audit_checkpoint")
+    return audit_monitor(read_log(spark, f"{target}/audit_log"))
+
+
 def _report(analysed: DataFrame, daily: DataFrame, weights: Mapping[str, float],
             found: models.Evaluation, target: str) -> dict[str, DataFrame]:
     ranked = alerts.with_level(alerts.category_alerts(daily, weights))

@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 
 from signalwatch.constants import DELIVERED
 from signalwatch.operators.daily import daily_sales
-from signalwatch.operators.keys import check_key, read_keyed, require_key, write_keyed
+from signalwatch.operators.keys import (
+    check_key,
+    dense_key,
+    read_keyed,
+    require_dense_key,
+    require_key,
+    write_keyed,
+)
 from signalwatch.plans import star
 from signalwatch.plans.features import category_codes
 from signalwatch.schemas import FACT_SALES
-from signalwatch.storage import save, together
+from signalwatch.storage import drop, exists, save, together
 
 PRIMARY_KEYS = {
     "dim_time": "time_sk",
@@ -31,6 +38,8 @@ NATURAL_KEYS = {
     "dim_customer": "customer_id",
     "dim_seller": "seller_id",
 }
+#: Written last, so that half a build is not taken for a whole one.
+_BUILT = "built"
 
 
 class Warehouse(dict):
@@ -59,8 +68,11 @@ def build(spark: SparkSession, staging: Mapping[str, DataFrame], path: str,
     """Drop and recreate all star schema tables under ``path``.
 
     Each table is written once. Tables that do not need each other are built side by
-    side, so a small dimension does not leave the cluster idle.
+    side, so a small dimension does not leave the cluster idle. Every primary key is checked;
+    a build that does not end leaves no marker and cannot be reopened.
     """
+    drop(spark, f"{path}/{_BUILT}")
+
     def stored(name: str, df: DataFrame) -> DataFrame:
         return save(df, f"{path}/{name}")
 
@@ -90,11 +102,18 @@ def build(spark: SparkSession, staging: Mapping[str, DataFrame], path: str,
     made["category_codes"] = stored(
         "category_codes", category_codes(daily_sales(made["fact_sales"], product))
     )
+    together(spark, {
+        name: lambda name=name, key=key: require_dense_key(made[name], key)
+        for name, key in PRIMARY_KEYS.items()
+    })
+    save(spark.range(1), f"{path}/{_BUILT}")
     return made
 
 
 def reopen(spark: SparkSession, path: str) -> Warehouse:
-    """The tables an earlier run built under ``path``."""
+    """The tables an earlier run built under ``path``; fails if that build did not end."""
+    if not exists(spark, f"{path}/{_BUILT}"):
+        raise FileNotFoundError(f"no finished star schema under {path}")
     plain = ["dim_time", "staging_trends", "staging_reviews", "category_codes"]
     found = Warehouse({name: spark.read.parquet(f"{path}/{name}") for name in plain})
     for name, key in PRIMARY_KEYS.items():
@@ -106,3 +125,21 @@ def reopen(spark: SparkSession, path: str) -> Warehouse:
 def append_sales(sales: DataFrame, path: str) -> None:
     """Append keyed fact rows to the folder the audit stream watches."""
     sales.select(*FACT_SALES.fieldNames()).write.mode("append").parquet(path)
+
+
+def with_increments(spark: SparkSession, base: DataFrame, path: str) -> DataFrame:
+    """The fact: what the load built, and all rows inserted since."""
+    columns = FACT_SALES.fieldNames()
+    return base.select(*columns).unionByName(spark.read.schema(FACT_SALES).parquet(path))
+
+
+def insert_sales(fact: DataFrame, sales: DataFrame, path: str) -> None:
+    """Insert fact rows without a key: they get the keys above the greatest of ``fact``.
+
+    The rows are numbered where they lie, without a sort or a one-task step, and appended to the
+    increments, which the fact and the audit stream both read. One insert at a time.
+    """
+    key = PRIMARY_KEYS["fact_sales"]
+    most = fact.agg(F.max(key)).first()[0] or 0
+    numbered = dense_key(sales.select(*[c for c in FACT_SALES.fieldNames() if c != key]), key)
+    append_sales(numbered.withColumn(key, F.col(key) + F.lit(most)), path)

@@ -21,8 +21,8 @@ _DEFAULTS = {
 def session(name: str = "signalwatch", partitions: int | None = None) -> SparkSession:
     """The session of a cluster job; a setting given to spark-submit stays as given.
 
-    ``partitions`` is how many parts a shuffle starts with: about the input's size over
-    128 MB, so that a part fits in memory. Too many are merged, too few spill.
+    ``partitions`` is how many parts a shuffle starts with; ``shuffle_parts`` tells it from the
+    input's size. Too many are merged, too few spill.
     """
     given = SparkConf()
     settings = dict(_DEFAULTS)
@@ -33,3 +33,8 @@ def session(name: str = "signalwatch", partitions: int | None = None) -> SparkSe
         if not given.contains(key):
             builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shuffle_parts(n_bytes: int, part_bytes: int = 128 << 20, least: int = 200) -> int:
+    """How many parts a shuffle of ``n_bytes`` starts with: none holds more than ``part_bytes``."""
+    return max(least, -(-n_bytes // part_bytes))

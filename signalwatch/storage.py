@@ -41,6 +41,29 @@ def save(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and the Hadoop file system it belongs to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a stored table or folder, if there is one."""
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = _place(spark, path)
+    return system.exists(place)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """How many bytes the files below a path hold."""
+    place, system = _place(spark, path)
+    return system.getContentSummary(place).getLength()
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once so later steps read it instead of computing it again."""
     return save(df, fresh_path(df.sparkSession, name))

@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from signalwatch.operators.keys import check_key, dense_key, require_key
+from signalwatch.operators.keys import check_key, dense_key, require_dense_key, require_key
 
 
 def test_order_with_missing_last_and_duplicates_kept(spark):
@@ -76,3 +76,12 @@ def test_check_key(spark):
         require_key(df, "sk")
     good = spark.range(3)
     assert require_key(good, "id") is good
+
+
+def test_dense_key_check(spark):
+    require_dense_key(spark.range(1, 1001).withColumnRenamed("id", "sk"), "sk")
+    require_dense_key(spark.range(0).withColumnRenamed("id", "sk"), "sk")
+    for bad in ([1, 2, 2, 4], [1, 2, None], [0, 1, 2], [2, 3, 4], [1, 1, 4, 4], [1, 2, 3, 3, 6, 6]):
+        rows = spark.createDataFrame([(v,) for v in bad], "sk long")
+        with pytest.raises(ValueError, match="no primary key"):
+            require_dense_key(rows, "sk")

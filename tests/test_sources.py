@@ -280,6 +280,54 @@ def test_whole_run_from_files(spark, tmp_path):
     assert "sentiment_score" not in alone.features.columns
 
 
+def test_inserts_reach_the_fact_and_its_log(spark, tmp_path):
+    from signalwatch.plans import retail_run
+    from signalwatch.storage import drop
+
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    _, n_items = source_folder(folder)
+    warehouse = retail_run.load(spark, str(folder), target)
+    more = spark.createDataFrame(warehouse["fact_sales"].drop("sales_sk").limit(7).collect())
+    more = more.select(*[more[c].cast(warehouse["fact_sales"].schema[c].dataType).alias(c)
+                         for c in more.columns])
+    for times in (1, 2):
+        warehouse = retail_run.insert(warehouse, more, target)
+        warehouse.check_primary_keys()
+        assert warehouse["fact_sales"].count() == n_items + 7 * times
+        assert retail_run.audit(spark, target).first().total_operations == 7 * times
+    assert retail_run.reload(spark, target)["fact_sales"].count() == n_items + 14
+    # a new load starts without them
+    assert retail_run.load(spark, str(folder), target)["fact_sales"].count() == n_items
+    assert retail_run.audit(spark, target).count() == 0
+    drop(spark, f"{target}/star/built")
+    with pytest.raises(FileNotFoundError):
+        retail_run.reload(spark, target)
+
+
+def test_a_build_with_repeated_keys_fails(spark, tmp_path, monkeypatch):
+    from signalwatch.plans import retail_run, warehouse
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    source_folder(folder)
+    read = warehouse.read_keyed
+    monkeypatch.setattr(warehouse, "read_keyed", lambda spark, path, key, *a: (
+        lambda df: df.union(df) if key == "seller_sk" else df)(read(spark, path, key, *a)))
+    with pytest.raises(ValueError, match="seller_sk is no primary key"):
+        retail_run.load(spark, str(folder), str(tmp_path / "out"))
+    with pytest.raises(FileNotFoundError):
+        retail_run.reload(spark, str(tmp_path / "out"))
+
+
+def test_shuffle_parts_follow_the_input():
+    from signalwatch.session import shuffle_parts
+
+    assert shuffle_parts(0) == shuffle_parts(200 << 27) == 200
+    assert shuffle_parts((200 << 27) + 1) == 201
+    assert shuffle_parts(100 << 40) == 819_200
+
+
 def test_stage_sets_bad_rows_aside(spark, tmp_path):
     folder, target = tmp_path / "in", str(tmp_path / "out")
     folder.mkdir()
@@ -304,7 +352,7 @@ def test_command_line(spark, tmp_path, capsys):
     source_folder(folder)
     (folder / "orders.csv").rename(folder / "my_orders.csv")
     main([str(folder), str(target), "--file", "orders=my_orders.csv", "--quarantine",
-          "--standalone", "--trees", "2", "--depth", "2", "--rounds", "1"])
+          "--standalone", "--audit", "--trees", "2", "--depth", "2", "--rounds", "1"])
     printed = capsys.readouterr().out
     assert "top_alerts" in printed and "la_cuisine" in printed
     assert spark.read.parquet(str(target / "reports" / "run_summary")).count() == 1
