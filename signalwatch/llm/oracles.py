@@ -6,7 +6,45 @@ from signalwatch.llm.spaced_seeds import MAY_DIFFER, WINDOW
 
 _MAY_DIFFER = " + ".join(f"CAST(width >= {n} AS INTEGER)" for n in MAY_DIFFER)
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLES = {
+    # all pairs that share a shingle, and everything that can be reached by links
+    "op1_minmax_dedup": rf"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                       '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws ELSE
+                       list_transform(range(1, len(ws)), lambda k: ws[k] || ' ' || ws[k + 1])
+                       END) AS shingle
+            FROM w),
+        sizes AS (
+            SELECT doc_id, count(*) AS n, list(shingle ORDER BY shingle) AS whole
+            FROM s GROUP BY doc_id),
+        classes AS (
+            SELECT doc_id, n, min(doc_id) OVER (PARTITION BY whole) AS class_id FROM sizes),
+        heads AS (SELECT DISTINCT class_id FROM classes),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+            FROM s AS a JOIN s AS b USING (shingle)
+            WHERE a.doc_id < b.doc_id AND a.doc_id IN (FROM heads) AND b.doc_id IN (FROM heads)
+            GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM common JOIN classes AS a ON a.doc_id = x JOIN classes AS b ON b.doc_id = y
+            WHERE 100 * common.n >= 80 * (a.n + b.n - common.n)),
+        ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reach AS (
+            SELECT class_id AS x, class_id AS y FROM heads
+            UNION SELECT reach.x, ways.y FROM reach JOIN ways ON ways.x = reach.y),
+        least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+        SELECT w.doc_id, coalesce(n, 0) AS n_shingles,
+               coalesce(component_id, w.doc_id) AS component_id,
+               w.doc_id = coalesce(component_id, w.doc_id) AS kept,
+               coalesce(class_id, w.doc_id) AS class_id
+        FROM w LEFT JOIN classes USING (doc_id) LEFT JOIN least ON x = class_id""",
     # every window of every item against every shift at which a word agrees
     "op6_spaced_seeds": rf"""
         WITH d AS (

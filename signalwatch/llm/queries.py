@@ -20,7 +20,8 @@ from signalwatch.llm.common import read_table
 
 
 def op1_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return minmax_dedup.near_duplicates(read_table(spark, folder, "documents"))
+    # which links were looked at depends on the method; what they join does not
+    return minmax_dedup.near_duplicates(read_table(spark, folder, "documents")).drop("n_links")
 
 
 def op2_crf_quality(spark: SparkSession, folder: str) -> DataFrame:
