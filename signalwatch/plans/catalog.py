@@ -543,7 +543,9 @@ def csv_roundtrip(spark, folder):
     """The search signal written to CSV, read back as text and conformed."""
     place = f"{fresh_path(spark, 'csv')}/trends.csv"
     columns = ["full_date", "time_sk", CATEGORY, "search_volume"]
-    files.write_csv(_search_file(warehouse(spark, folder)), place, columns)
+    w = warehouse(spark, folder)
+    dated = w["staging_trends"].join(w["dim_time"].select("full_date", "time_sk"), "full_date", "left")
+    files.write_csv(dated, place, columns)
     raw = files.scan_csv(spark, place, STAGING["trends"].fieldNames())
     return shown(quality.conform(raw, STAGING["trends"]))
 
@@ -570,7 +572,8 @@ def json_roundtrip(spark, folder):
     """Review records with day number and profile written to JSON, and read back."""
     w = warehouse(spark, folder)
     place = f"{fresh_path(spark, 'json')}/reviews.jsonl"
-    records = w["staging_reviews"].join(w["dim_time"].select("full_date", "time_sk"), "full_date")
+    records = w["staging_reviews"].join(
+        w["dim_time"].select("full_date", "time_sk"), "full_date", "left").fillna(0, ["time_sk"])
     profile = profile_of(F.col(CATEGORY), TABLE_PROFILES)
     files.write_json(records.withColumn("profile", profile), place)
     schema = T.StructType([*STAGING["reviews"].fields]).add("time_sk", T.LongType()).add(

@@ -421,9 +421,10 @@ _SELECTS = {
         + _key_check("log", "(SELECT row_number() OVER () AS log_id FROM fact)", "log_id") + ")",
     "audit_monitor": "SELECT 'fact_sales' AS table_name, 'INSERT' AS operation, "
                      "count(*) AS total_operations FROM fact",
-    "csv_roundtrip": f"SELECT {_d('full_date')}, {_CATEGORY}, search_volume FROM d_trend",
-    "json_roundtrip": f"SELECT {_REVIEW}, time_sk, {_profile(TABLE_PROFILES)} AS profile "
-                      "FROM d_review",
+    "csv_roundtrip": f"SELECT {_d('full_date')}, {_CATEGORY}, search_volume FROM s_trends",
+    "json_roundtrip": f"SELECT {_REVIEW}, coalesce(time_sk, 0) AS time_sk, "
+                      f"{_profile(TABLE_PROFILES)} AS profile "
+                      "FROM s_reviews LEFT JOIN d_time USING (full_date)",
     "csv_malformed":
         "SELECT CASE WHEN seller_id % 10 = 0 THEN seller_id || ',' || seller_city || ',' || "
         "seller_state || ',EXTRA' WHEN seller_id % 10 = 1 THEN CAST(seller_id AS VARCHAR) "

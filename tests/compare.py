@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -64,6 +65,7 @@ def main(folder: str, only: list[str]) -> int:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="signalwatch-compare-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
