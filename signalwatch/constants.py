@@ -118,4 +118,8 @@ SAMPLE_CATEGORIES = (
     "la_cuisine", "moveis_escritorio", "brinquedos", "bebidas",
     "sinalizacao_e_seguranca", "pcs",
 )
+REVIEW_SAMPLE_CATEGORIES = (
+    "la_cuisine", "moveis_escritorio", "brinquedos", "bebidas",
+    "sinalizacao_e_seguranca", "pcs", "fashion_bolsas_e_acessorios",
+)
 SPOTLIGHT_CATEGORY = "la_cuisine"

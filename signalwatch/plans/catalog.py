@@ -72,6 +72,12 @@ def shown(df: DataFrame) -> DataFrame:
     ])
 
 
+def _beside(row: DataFrame, *others: DataFrame) -> DataFrame:
+    """Tables of one row as one, by scalar subqueries."""
+    return row.select("*", *[other.select(name).scalar().alias(name)
+                             for other in others for name in other.columns])
+
+
 # --- features shared by several queries ----------------------------------------------
 
 
@@ -292,6 +298,12 @@ def signal_sample(spark, folder):
     return shown(signals.search_profile(listed, TABLE_PROFILES))
 
 
+def review_sample(spark, folder):
+    listed = signals.for_categories(warehouse(spark, folder)["staging_reviews"],
+                                    LISTED_CATEGORIES)
+    return shown(signals.review_profile(listed, TABLE_PROFILES))
+
+
 # --- features and scores ---------------------------------------------------------------------
 
 
@@ -473,7 +485,7 @@ def model_checks(spark, folder):
         F.bool_and((F.col("gap") < C.HEALTHY_GAP) == F.col("healthy")).alias("healthy_agrees"),
         F.bool_and((F.col("r2") >= C.TARGET_R2) == F.col("meets_target")).alias("target_agrees"))
     scores = found.folds.agg((F.count("*") == 2 * C.FOLDS).alias("all_folds"))
-    return compared.join(importance).join(scores)  # three tables of one row
+    return _beside(compared, importance, scores)
 
 
 def run_volumes(spark, folder):
@@ -523,7 +535,7 @@ def fact_after_insert(spark, folder):
     logged = audit_stream.read_log(spark, f"{place}/log").agg(
         F.count("*").alias("n_logged"), F.min("sales_sk").alias("first_logged"))
     fact = with_increments(spark, base, f"{place}/increments")
-    return check_key(fact, "sales_sk").join(logged)  # two tables of one row
+    return _beside(check_key(fact, "sales_sk"), logged)
 
 
 def audit_log_numbers(spark, folder):
@@ -650,6 +662,7 @@ QUERIES: dict[str, Query] = {
     "signal_stats": signal_stats,
     "signal_review_stats": signal_review_stats,
     "signal_sample": signal_sample,
+    "review_sample": review_sample,
     "daily_sales": daily_sales_query,
     "daily_features": daily_features,
     "daily_features_standalone": daily_features_standalone,

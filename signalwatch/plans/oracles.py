@@ -367,6 +367,12 @@ _SELECTS = {
         f"{_r('avg(total_comments)', 'comments_mean')}, "
         f"{_r('avg(review_momentum)', 'momentum_mean')}, {_profile(TABLE_PROFILES)} AS profile "
         "FROM s_reviews GROUP BY category",
+    "review_sample":
+        f"SELECT {_CATEGORY}, {_r('avg(average_score)', 'score_mean')}, "
+        f"{_r('avg(total_comments)', 'comments_mean')}, "
+        f"{_r('avg(review_momentum)', 'momentum_mean')}, {_profile(TABLE_PROFILES)} AS profile "
+        f"FROM s_reviews WHERE category IN ({', '.join(repr(c) for c in LISTED_CATEGORIES)}) "
+        "GROUP BY category",
     "signal_sample": f"SELECT {_STATS} FROM s_trends WHERE category IN "
                      f"({', '.join(repr(c) for c in LISTED_CATEGORIES)}) GROUP BY category",
     "daily_sales": f"SELECT {_CATEGORY}, time_sk, sales_volume, {_r('revenue')} FROM daily_b",
