@@ -5,10 +5,12 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
+from pyspark.sql import SparkSession
+
 from signalwatch.plans import models, retail_run
 from signalwatch.session import session, shuffle_parts
 from signalwatch.sources.staging import SOURCE_FILES
-from signalwatch.storage import size_of
+from signalwatch.storage import scratch, size_of
 
 
 def _options(arguments: Sequence[str] | None) -> argparse.Namespace:
@@ -39,6 +41,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
     options = _options(arguments)
     names = SOURCE_FILES | dict(pair.split("=", 1) for pair in options.file)
     spark = session(partitions=options.partitions)
+    with scratch(spark):
+        _run(spark, options, names)
+
+
+def _run(spark: SparkSession, options: argparse.Namespace, names: dict[str, str]) -> None:
     if not options.partitions:
         parts = shuffle_parts(size_of(spark, options.source))
         spark.conf.set("spark.sql.shuffle.partitions", parts)

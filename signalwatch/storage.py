@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -30,9 +31,27 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_handed_out: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/signalwatch/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/signalwatch/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was stored at fresh paths in between; for a whole run, whose results
+    lie elsewhere."""
+    before = len(_handed_out)
+    try:
+        yield
+    finally:
+        for path in _handed_out[before:]:
+            drop(spark, path)
+        del _handed_out[before:]
 
 
 def save(df: DataFrame, path: str) -> DataFrame:

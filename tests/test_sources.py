@@ -1,4 +1,5 @@
 import json
+import os
 import zipfile
 from decimal import Decimal
 
@@ -344,15 +345,22 @@ def test_stage_sets_bad_rows_aside(spark, tmp_path):
     assert spark.read.parquet(f"{target}/sellers").count() == 3
 
 
-def test_command_line(spark, tmp_path, capsys):
+def test_command_line(spark, tmp_path, capsys, setting):
     from signalwatch.__main__ import main
+    from signalwatch.storage import shared_dir
 
     folder, target = tmp_path / "in", tmp_path / "out"
     folder.mkdir()
     source_folder(folder)
     (folder / "orders.csv").rename(folder / "my_orders.csv")
+    shared = f"{shared_dir(spark)}/signalwatch".removeprefix("file:")
+    os.makedirs(shared, exist_ok=True)
+    before = set(os.listdir(shared))
+    setting(spark__sql__shuffle__partitions="4")  # set from the source's size, and back afterwards
     main([str(folder), str(target), "--file", "orders=my_orders.csv", "--quarantine",
           "--standalone", "--audit", "--trees", "2", "--depth", "2", "--rounds", "1"])
+    # nothing but what is documented stays
+    assert set(os.listdir(shared)) == before
     printed = capsys.readouterr().out
     assert "top_alerts" in printed and "la_cuisine" in printed
     assert spark.read.parquet(str(target / "reports" / "run_summary")).count() == 1
