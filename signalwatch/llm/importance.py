@@ -2,7 +2,8 @@
 n-grams than raw text.
 
 Words and pairs of neighbouring words are hashed to buckets. A generative model is a count for
-each bucket: the raw model of all documents, the target model of documents labelled as good. A
+each bucket: the raw model of all documents, the target model of a bounded sample of documents
+labelled as good, so that no text is shuffled. A
 document's weight is the ratio of its likelihoods, the sum over its n-grams of the log ratio of their
 buckets. The Gumbel-top-k trick draws without replacement in proportion to the weights: the k largest
 of log weight + Gumbel noise, where the noise is a hash of doc_id.
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from signalwatch.llm.common import BASE, mixed, picked, settle, word_hashes
 
 BUCKETS = 1 << 14
+#: Good documents that the target model is fitted on, the first by hash of doc_id.
+FIT_DOCUMENTS = 20_000
 #: Added to each bucket's count.
 SMOOTHING = 1.0
 SEED = 17
@@ -68,9 +71,10 @@ def log_ratios(documents: DataFrame, labels: DataFrame, buckets: int = BUCKETS)
         .groupBy("doc_id").agg(F.max("quality").alias("quality"))
     share = known.agg(F.avg("quality")).first()[0]
     texts = picked(documents, doc_id="long", text="string")
+    some = known.where("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS)
     counts = (
-        texts.join(known, "doc_id", "left")
-        .select("text", (F.coalesce("quality", F.lit(0)) == 1).alias("target"))
+        texts.join(F.broadcast(some), "doc_id", "left")  # at most FIT_DOCUMENTS ids
+        .select("text", F.col("quality").isNotNull().alias("target"))
         .mapInPandas(_count(buckets), "bucket long, raw long, target long")
         .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
         .toPandas()  # a row for each bucket
