@@ -9,8 +9,9 @@ from llm.tables import documents, sentence
 
 import corpus_pipeline
 from signalwatch.llm import spaced_seeds, weak_toxicity
+from signalwatch.llm.common import settle
 
-DATA = "/root/testdata/sf0.001"
+DATA = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -107,9 +108,9 @@ def test_awkward_rows_go_through(spark):
             (5, sentence(5, 4000))]
     docs = documents(spark, rows)
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, DATA)
+        docs = settle(stage(spark, docs, DATA), name)
     assert {r.doc_id for r in docs.collect()} == {1, 2, 3, None, 5}
     none = documents(spark, rows).where("doc_id > 99")
     for name, stage in corpus_pipeline.STAGES:
-        none = stage(spark, none, DATA)
+        none = settle(stage(spark, none, DATA), name)
     assert none.count() == 0
