@@ -132,7 +132,7 @@ def confirmed_links(pairs: DataFrame, texts: DataFrame, width: int = 2,
                          F.pmod(F.xxhash64("b"), F.lit(64)).alias("salt"))
     wanted = dealt.union(dealt.select("lead", F.col("lead").alias("doc_id"), "salt").distinct())
     return (
-        wanted.join(texts, "doc_id")
+        wanted.join(texts.hint("merge"), "doc_id")  # one plan, however few the pairs
         .repartition("lead", "salt")
         .sortWithinPartitions("lead", "salt", F.col("doc_id") != F.col("lead"))
         .select("lead", "salt", "doc_id", "text")
@@ -230,7 +230,7 @@ def near_duplicates(documents: DataFrame, percent: int = 80, width: int = 2,
     strays = dealt.where("stray").select("lead", "doc_id", "label", F.explode("blocks").alias("y"),
                                          F.col("mine").alias("x"), "stray")
     more = settle(
-        rest.unionByName(strays).join(texts, "doc_id")
+        rest.unionByName(strays).join(texts.hint("merge"), "doc_id")
         .groupBy("lead", "x", "y")
         .applyInPandas(_links_between(width, percent, _factors(bands, per_band)), "a long, b long")
         .distinct(), "dedup-more")
