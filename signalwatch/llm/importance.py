@@ -2,8 +2,8 @@
 n-grams than raw text.
 
 Words and pairs of neighbouring words are hashed to buckets. A generative model is a count for
-each bucket: the raw model of all documents, the target model of a bounded sample of documents
-labelled as good, so that no text is shuffled. A
+each bucket: the raw model of all documents, the target model of all documents labelled as good; of
+texts, only those that a bit filter takes for labelled ones are shuffled. A
 document's weight is the ratio of its likelihoods, the sum over its n-grams of the log ratio of their
 buckets. The Gumbel-top-k trick draws without replacement in proportion to the weights: the k largest
 of log weight + Gumbel noise, where the noise is a hash of doc_id.
@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from signalwatch.llm.common import BASE, mixed, picked, settle, word_hashes
 
 BUCKETS = 1 << 14
-#: Good documents that the target model is fitted on, the first by hash of doc_id.
-FIT_DOCUMENTS = 20_000
+#: Bits of the filter of labelled ids, a multiple of 64; fewer let more unlabelled texts be shuffled
+#: and change no result.
+FILTER_BITS = 1 << 26
 #: Added to each bucket's count.
 SMOOTHING = 1.0
 SEED = 17
@@ -39,20 +40,43 @@ def buckets_of(text: str | None, buckets: int = BUCKETS) -> np.ndarray:
 
 def _count(buckets: int):
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        raw = np.zeros(buckets, np.int64)
-        target = np.zeros(buckets, np.int64)
+        total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for text, good in zip(batch.text, batch.target):
-                found = np.bincount(buckets_of(text, buckets), minlength=buckets)
-                raw += found
-                if good:
-                    target += found
-        here = np.flatnonzero(raw)
-        yield pd.DataFrame({"bucket": here, "raw": raw[here], "target": target[here]})
+            for text in batch.text:
+                total += np.bincount(buckets_of(text, buckets), minlength=buckets)
+        here = np.flatnonzero(total)
+        yield pd.DataFrame({"bucket": here, "n": total[here]})
 
     return counted
 
 
+def bucket_counts(texts: DataFrame, buckets: int) -> np.ndarray:
+    """How often each bucket occurs in the column ``text``, added up by task."""
+    found = texts.select("text").mapInPandas(_count(buckets), "bucket long, n long") \
+        .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # a row for each bucket
+    counts = np.zeros(buckets, np.int64)
+    counts[found.bucket] = found.n
+    return counts
+
+
+def labelled(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``texts`` (``doc_id, text``) whose doc_id is one of ``ids`` (``doc_id``, each once).
+
+    A filter of ``FILTER_BITS`` bits, broadcast as a row for each 64 of them, keeps most other rows
+    from the shuffle.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumns({"place": F.floor(slot / 64),
+                               "bit": F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64L) as int))")})
+
+    bits = placed(ids).groupBy("place").agg(F.bit_or("bit").alias("bits"))
+    near = placed(texts).join(F.broadcast(bits), "place") \
+        .where(F.col("bits").bitwiseAND(F.col("bit")) != 0).select("doc_id", "text")
+    return near.join(ids.hint("merge"), "doc_id")  # one plan, however few the labels
+
+
 def _weigh(ratio: np.ndarray):
     def weighed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -71,20 +95,12 @@ def log_ratios(documents: DataFrame, labels: DataFrame, buckets: int = BUCKETS)
         .groupBy("doc_id").agg(F.max("quality").alias("quality"))
     share = known.agg(F.avg("quality")).first()[0]
     texts = picked(documents, doc_id="long", text="string")
-    some = known.where("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS)
-    counts = (
-        texts.join(F.broadcast(some), "doc_id", "left")  # at most FIT_DOCUMENTS ids
-        .select("text", F.col("quality").isNotNull().alias("target"))
-        .mapInPandas(_count(buckets), "bucket long, raw long, target long")
-        .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-        .toPandas()  # a row for each bucket
-    )
-    raw = np.full(buckets, SMOOTHING)
-    target = np.full(buckets, SMOOTHING)
-    raw[counts.bucket] += counts.raw
-    target[counts.bucket] += counts.target
-    if not counts.target.sum():
+    good = settle(known.where("quality = 1").select("doc_id"), "importance-good")
+    target = bucket_counts(labelled(texts, good), buckets)
+    if not target.any():
         return np.zeros(buckets), 1.0 if share is None else share
+    raw = bucket_counts(texts, buckets) + SMOOTHING
+    target = target + SMOOTHING
     return np.log(target / target.sum()) - np.log(raw / raw.sum()), share
 
 

@@ -31,6 +31,20 @@ def test_weights_against_a_plain_count(spark):
         assert abs(r.log_weight - weight) < 1e-6 and r.n_features == len(here) == 119
 
 
+def test_target_counts_all_good_documents(spark):
+    every = spark.range(21_000).selectExpr(
+        "id AS doc_id", "IF(id % 3 = 0, 'alpha beta', CONCAT('w', id % 50)) AS text", "1 AS quality")
+    ratio, share = op.log_ratios(every, every)  # all are good: both models are the same
+    assert share == 1 and np.abs(ratio).max() < 1e-12
+
+
+def test_filter_of_ids_changes_no_result(spark, monkeypatch):
+    texts, known = texts_and_labels()
+    expected = op.log_ratios(documents(spark, texts), labels(spark, known))[0]
+    monkeypatch.setattr(op, "FILTER_BITS", 64)
+    assert (op.log_ratios(documents(spark, texts), labels(spark, known))[0] == expected).all()
+
+
 def test_top_k_of_weights_and_noise(spark):
     texts, known = texts_and_labels()
     found = op.resample(documents(spark, texts), labels(spark, known)).toPandas()
