@@ -5,7 +5,8 @@ host's commonest tree is its reference. Every page's tree is aligned with it by
 (nodes match if they and their ancestors have equal labels; the matching keeps the order and is as
 large as can be). Texts of aligned nodes are counted over all pages of the host: a node whose text
 is mostly the same is template, one whose text varies is a slot. The innermost container of most slot
-text is where the host keeps its articles; pages give the text of the node aligned with it.
+text is where the host keeps its articles; pages give the text of the node aligned with it, without
+the texts of template nodes in it where they are the host's commonest.
 
 Counts are sums by host, node and text, added up map-side, so a host with a third of all pages is
 no more work for one task than others. What is known of a host is its reference tree and one row for
@@ -317,32 +318,42 @@ def _skeletons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "tree": [skeleton(parse(h)) for h in batch.html]})
 
 
+def own_texts(page: Page, to: dict[int, int]) -> dict[int, list[str]]:
+    """The texts that lie right in each aligned node of a page, by the node of the reference."""
+    held: dict[int, list[str]] = {}
+    for node, text, dropped in page.blocks:
+        if not dropped and node.number in to:
+            held.setdefault(to[node.number], []).append(text)
+    return held
+
+
+def hash_of(texts: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest("\n".join(texts).encode("utf-8", "surrogatepass")) >> 1
+
+
 def _node_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     aligned = Aligner()
     for batch in batches:
         rows = []
         for host, html, reference in zip(batch.host, batch.html, batch.reference):
             page = parse(html)
-            to = aligned(page, reference)
-            held: dict[int, list[str]] = {}
-            for node, text, dropped in page.blocks:
-                if not dropped and node.number in to:
-                    held.setdefault(to[node.number], []).append(text)
-            rows += [(host, node, xxhash.xxh3_64_intdigest("\n".join(texts).encode(
-                "utf-8", "surrogatepass")) >> 1, sum(map(len, texts)))
-                for node, texts in held.items()]
+            rows += [(host, node, hash_of(texts), sum(map(len, texts)))
+                     for node, texts in own_texts(page, aligned(page, reference)).items()]
         yield pd.DataFrame(rows, columns=["host", "node", "hash", "chars"])
 
 
-def wrapper_of(reference: str, stats: dict[int, tuple[int, int, int]]) -> tuple[int, list[int]]:
-    """The container's node, and template nodes in it that pages leave out.
+def wrapper_of(reference: str, stats: dict[int, tuple[int, int, int, int, int]]) \
+        -> tuple[int, list[tuple[int, int]]]:
+    """The container's node, and template nodes in it with the hash of the text that pages leave out.
 
-    ``stats`` of a node: pages with text there, pages with its commonest text, characters.
+    ``stats`` of a node: pages with text there, pages with its commonest text, characters, those of
+    the commonest text, its hash.
     """
     labels, kids, parents = tree_of(reference)
-    constant = {k for k, (pages, same, _) in stats.items()
+    constant = {k for k, (pages, same, *_) in stats.items()
                 if pages >= LEAST_PAGES and same > SAME_SHARE * pages}
-    mass = [stats[k][2] if k in stats and k not in constant else 0 for k in range(len(labels))]
+    mass = [stats[k][2] - (stats[k][3] if k in constant else 0) if k in stats else 0
+            for k in range(len(labels))]
     if not any(mass):  # all pages are alike, or one page: then all text counts
         mass = [stats[k][2] if k in stats else 0 for k in range(len(labels))]
         constant = set()
@@ -356,7 +367,7 @@ def wrapper_of(reference: str, stats: dict[int, tuple[int, int, int]]) -> tuple[
         inner = [k for k in kids[at] if mass[k] >= SLOT_SHARE * mass[0]
                  and labels[k].split(".")[0] in _CONTAINERS]
         if not inner or not mass[0]:
-            return at, sorted(k for k in constant if k > at
+            return at, sorted((k, stats[k][4]) for k in constant if k > at
                               and labels[k].split(".")[0] in _CONTAINERS | {"ul", "ol", "li"})
         at = inner[0]
 
@@ -365,8 +376,8 @@ def _wrap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for host, reference, nodes in zip(batch.host, batch.reference, batch.nodes):
-            stats = {n["node"]: (n["pages"], n["same"], n["chars"]) for n in nodes} \
-                if nodes is not None else {}
+            stats = {n["node"]: (n["pages"], n["same"], n["chars"], n["same_chars"], n["hash"])
+                     for n in nodes} if nodes is not None else {}
             container, left_out = wrapper_of(reference, stats)
             rows.append((host, reference, container, left_out))
         yield pd.DataFrame(rows, columns=["host", "reference", "container", "left_out"])
@@ -384,14 +395,17 @@ def wrappers(pages: DataFrame) -> DataFrame:
         with_host(read).join(references, "host").select("host", "html", "reference")
         .mapInPandas(_node_texts, "host string, node int, hash long, chars long")
         .groupBy("host", "node", "hash").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
-        .groupBy("host", "node").agg(F.sum("n").alias("pages"), F.max("n").alias("same"),
-                                     F.sum("chars").alias("chars"))
-        .groupBy("host").agg(F.collect_list(F.struct("node", "pages", "same", "chars"))
-                             .alias("nodes"))  # a row for each node of one tree
+        .groupBy("host", "node").agg(F.sum("n").alias("pages"), F.sum("chars").alias("chars"),
+                                     F.max(F.struct("n", "hash", "chars")).alias("top"))
+        .groupBy("host").agg(F.collect_list(F.struct(
+            "node", "pages", F.col("top.n").alias("same"), "chars",
+            F.col("top.chars").alias("same_chars"), F.col("top.hash").alias("hash")))
+            .alias("nodes"))  # a row for each node of one tree
     )
     return settle(
         references.join(counted, "host", "left").select("host", "reference", "nodes")
-        .mapInPandas(_wrap, "host string, reference string, container int, left_out array<int>"),
+        .mapInPandas(_wrap, "host string, reference string, container int, "
+                            "left_out array<struct<node: int, hash: bigint>>"),
         "wrappers")
 
 
@@ -403,23 +417,31 @@ def with_host(pages: DataFrame) -> DataFrame:
         host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit("")))
 
 
-def main_text(page: Page, to: dict[int, int], container: int, left_out: set[int]) -> str:
+def main_text(page: Page, to: dict[int, int], container: int,
+              left_out: set[tuple[int, int]]) -> str:
     """The blocks of the node aligned with the container, or of the page's own articles, or of its
-    whole body, in this order of preference."""
+    whole body, in this order of preference.
+
+    ``left_out``: nodes of the reference and hashes; where the texts right in such a node have
+    that hash, these are left out, but nothing below the node.
+    """
+    gone = {b for b, texts in own_texts(page, to).items() if (b, hash_of(texts)) in left_out} \
+        if left_out else set()
+
     def below(tops: set[int], without: set[int]) -> str:
         inside: list[bool] = []
         for node in page.nodes:  # parents come first
             up = inside[node.parent.number] if node.parent else False
-            inside.append((up or node.number in tops) and node.number not in without)
+            inside.append(up or node.number in tops)
         return "\n".join(text for node, text, dropped in page.blocks
-                         if not dropped and inside[node.number])
+                         if not dropped and inside[node.number]
+                         and to.get(node.number) not in without)
 
     tops = {a for a, b in to.items() if b == container and container > 0}
     own = {n.number for n in page.nodes if n.article}
     for chosen in (tops, own, {0}):
         if chosen:
-            gone = {a for a, b in to.items() if b in left_out} if chosen is not own else set()
-            found = below(chosen, gone)
+            found = below(chosen, gone if chosen is not own else set())
             if found or chosen == own:
                 return found
     return ""
@@ -432,7 +454,8 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for html, reference, container, left_out in zip(batch.html, batch.reference,
                                                         batch.container, batch.left_out):
             page = parse(html)
-            texts.append(main_text(page, aligned(page, reference), int(container), set(left_out)))
+            texts.append(main_text(page, aligned(page, reference), int(container),
+                                   {(n["node"], n["hash"]) for n in left_out}))
         yield pd.DataFrame({"page_id": batch.page_id, "url": batch.url, "text": texts,
                             "n_chars": [len(t) for t in texts], "host": batch.host})
 

@@ -42,6 +42,20 @@ def test_template_is_learned_where_names_say_nothing(spark):
     assert texts(op.extract(pages(spark, rows))) == expected
 
 
+def test_only_the_commonest_text_of_a_template_node_is_left_out(spark):
+    rows, expected = [], {}
+    for k in range(12):
+        text = [sentence(3 * k + j, 20) for j in range(3)]
+        rows.append((k, "http://a.net/x", "<body>" + "".join(
+            f"<div>{name}<p>{t}</p></div>" for name, t in zip(("News", "Sport", "Local"), text))))
+        expected[k] = "\n".join(text)
+        notice = sentence(k + 100, 30) if k % 3 == 0 else "No notice today"
+        rows.append((k + 50, "http://b.net/x", (
+            f"<body><div>{notice}</div><div><p>{text[0]}</p></div><div><p>{text[1]}</p></div>")))
+        expected[k + 50] = "\n".join(([notice] if k % 3 == 0 else []) + text[:2])
+    assert texts(op.extract(pages(spark, rows))) == expected
+
+
 def test_pages_that_are_all_alike_keep_their_text(spark):
     html = page(1)[0]
     found = op.extract(pages(spark, [(k, "http://a.b/c", html) for k in range(9)]))
