@@ -21,6 +21,7 @@ from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
@@ -33,8 +34,11 @@ SAME_SHARE = 0.6
 LEAST_PAGES = 3
 #: The container holds at least this share of all slot text.
 SLOT_SHARE = 0.8
-#: Nodes of a page's tree that are aligned; larger trees keep their first nodes for alignment only.
-MOST_NODES = 400
+#: Pairs of children up to which all steps of a matching are held; larger ones are halved first, with
+#: the same result in size.
+HELD_PAIRS = 4096
+#: Nodes of remembered alignments; changes no result.
+REMEMBERED_NODES = 400_000
 
 # fixed values: kinds of HTML elements
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"}
@@ -222,7 +226,7 @@ def skeleton(page: Page) -> str:
     """The tree as text: depth and label of each node, in page order."""
     depth = {}
     out = []
-    for node in page.nodes[:MOST_NODES]:
+    for node in page.nodes:
         depth[node.number] = depth[node.parent.number] + 1 if node.parent else 0
         out.append(f"{depth[node.number]}:{node.label}")
     return " ".join(out)
@@ -248,57 +252,129 @@ def tree_of(text: str) -> Tree:
     return labels, kids, parents
 
 
+def _last_row(weights: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    """The weight of a heaviest matching of all ``xs`` with the first 0, 1, 2, ... of ``ys``."""
+    row = np.zeros(len(ys) + 1, np.int64)
+    for x in xs:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weights[x, ys]))
+    return row
+
+
+def heaviest(weights: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> list[tuple[int, int]]:
+    """Places in ``xs`` and ``ys`` of a heaviest matching that keeps the order; ``weights`` by kind."""
+    if not len(xs) or not len(ys):
+        return []
+    if len(xs) > 1 and len(xs) * len(ys) > HELD_PAIRS:
+        half = len(xs) // 2
+        cut = int(np.argmax(_last_row(weights, xs[:half], ys)
+                            + _last_row(weights, xs[half:][::-1], ys[::-1])[::-1]))
+        return heaviest(weights, xs[:half], ys[:cut]) \
+            + [(half + i, cut + j) for i, j in heaviest(weights, xs[half:], ys[cut:])]
+    own = weights[np.ix_(xs, ys)].tolist()
+    size = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+    for i, line in enumerate(own):
+        for j, w in enumerate(line):
+            size[i + 1][j + 1] = max(size[i][j + 1], size[i + 1][j], size[i][j] + w)
+    pairs, i, j = [], len(xs), len(ys)
+    while i and j:
+        w = own[i - 1][j - 1]
+        if w and size[i][j] == size[i - 1][j - 1] + w:
+            pairs.append((i - 1, j - 1))
+            i, j = i - 1, j - 1
+        elif size[i][j] == size[i - 1][j]:
+            i -= 1
+        else:
+            j -= 1
+    return pairs[::-1]
+
+
 def align(page: Tree, reference: Tree) -> dict[int, int]:
-    """Simple tree matching: pairs of nodes of a largest order-keeping, top-down matching."""
-    known: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def match(a: int, b: int) -> tuple[int, list]:
-        if page[0][a] != reference[0][b]:
-            return 0, []
-        if (a, b) in known:
-            return known[a, b]
-        xs, ys = page[1][a], reference[1][b]
-        size = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        for i, x in enumerate(xs):
-            for j, y in enumerate(ys):
-                size[i + 1][j + 1] = max(size[i][j + 1], size[i + 1][j], size[i][j] + match(x, y)[0])
-        pairs, i, j = [], len(xs), len(ys)
-        while i and j:
-            own = match(xs[i - 1], ys[j - 1])[0]
-            if own and size[i][j] == size[i - 1][j - 1] + own:
-                pairs.append((xs[i - 1], ys[j - 1]))
-                i, j = i - 1, j - 1
-            elif size[i][j] == size[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
-        known[a, b] = size[-1][-1] + 1, pairs
-        return known[a, b]
+    """Simple tree matching: pairs of nodes of a largest order-keeping, top-down matching.
 
-    out, todo = {}, [(0, 0)] if match(0, 0)[0] else []
+    Equal subtrees are one shape. Shapes are compared once, equal ones at the ends of two rows of
+    children are paired at once (no matching is larger), so long tables take little work.
+    """
+    numbers: dict[tuple, int] = {}
+    shapes: list[tuple[str, tuple[int, ...]]] = []  # label, shapes of the children
+    size: list[int] = []
+
+    def shapes_of(tree: Tree) -> list[int]:
+        labels, kids, _ = tree
+        out = [0] * len(labels)
+        for k in range(len(labels) - 1, -1, -1):  # children come later than parents
+            shape = labels[k], tuple([out[c] for c in kids[k]])
+            if shape not in numbers:
+                numbers[shape] = len(shapes)
+                shapes.append(shape)
+                size.append(1 + sum(size[c] for c in shape[1]))
+            out[k] = numbers[shape]
+        return out
+
+    known: dict[tuple[int, int], tuple[int, list]] = {}  # size, places of paired children
+
+    def weight(x: int, y: int) -> int:
+        if x == y:
+            return size[x]
+        return known[x, y][0] if shapes[x][0] == shapes[y][0] else 0
+
+    ours, theirs = shapes_of(page), shapes_of(reference)
+    todo = [(ours[0], theirs[0])]
     while todo:
-        a, b = todo.pop()
+        x, y = todo[-1]
+        if x == y or shapes[x][0] != shapes[y][0] or (x, y) in known:
+            todo.pop()
+            continue
+        xs, ys = shapes[x][1], shapes[y][1]
+        least = min(len(xs), len(ys))
+        begin = next((k for k in range(least) if xs[k] != ys[k]), least)
+        end = next((k for k in range(least - begin) if xs[-1 - k] != ys[-1 - k]), least - begin)
+        in_x, in_y = xs[begin:len(xs) - end], ys[begin:len(ys) - end]
+        kinds_x, kinds_y = ({s: k for k, s in enumerate(dict.fromkeys(row))} for row in (in_x, in_y))
+        missing = [(p, q) for p in kinds_x for q in kinds_y
+                   if p != q and shapes[p][0] == shapes[q][0] and (p, q) not in known]
+        if missing:
+            todo += missing
+            continue
+        weights = np.array([[weight(p, q) for q in kinds_y] for p in kinds_x], np.int64)
+        inner = heaviest(weights, np.array([kinds_x[s] for s in in_x], np.int64),
+                         np.array([kinds_y[s] for s in in_y], np.int64))
+        pairs = [(k, k) for k in range(begin)] + [(begin + i, begin + j) for i, j in inner] \
+            + [(len(xs) - k, len(ys) - k) for k in range(end, 0, -1)]
+        known[x, y] = 1 + sum(weight(xs[i], ys[j]) for i, j in pairs), pairs
+        todo.pop()
+
+    out: dict[int, int] = {}
+    nodes = [(0, 0)] if weight(ours[0], theirs[0]) else []
+    while nodes:
+        a, b = nodes.pop()
         out[a] = b
-        todo += known[a, b][1]
+        if ours[a] == theirs[b]:
+            nodes += zip(page[1][a], reference[1][b])
+        else:
+            nodes += [(page[1][a][i], reference[1][b][j]) for i, j in known[ours[a], theirs[b]][1]]
     return out
 
 
 class Aligner:
     """Alignments by tree and reference; the last ones are remembered."""
 
-    def __init__(self, most: int = 2000):
+    def __init__(self, most: int = REMEMBERED_NODES):
         self._known: OrderedDict = OrderedDict()
         self._most = most
+        self._held = 0
 
     def __call__(self, page: Page, reference: str | None) -> dict[int, int]:
         if not reference:
             return {}
         key = skeleton(page), reference
-        if key not in self._known:
-            self._known[key] = align(tree_of(key[0]), tree_of(reference))
-            if len(self._known) > self._most:
-                self._known.popitem(last=False)
-        return self._known[key]
+        if key in self._known:
+            return self._known[key]
+        found = self._known[key] = align(tree_of(key[0]), tree_of(reference))
+        self._held += len(page.nodes)
+        while self._held > self._most:
+            (tree, _), _ = self._known.popitem(last=False)
+            self._held -= tree.count(" ") + 1
+        return found
 
 
 def host_of(url: str | None) -> str:
@@ -420,7 +496,7 @@ def with_host(pages: DataFrame) -> DataFrame:
 def main_text(page: Page, to: dict[int, int], container: int,
               left_out: set[tuple[int, int]]) -> str:
     """The blocks of the node aligned with the container, or of the page's own articles, or of its
-    whole body, in this order of preference.
+    whole body, in this order of preference; own articles come first if the container is none.
 
     ``left_out``: nodes of the reference and hashes; where the texts right in such a node have
     that hash, these are left out, but nothing below the node.
@@ -439,12 +515,12 @@ def main_text(page: Page, to: dict[int, int], container: int,
 
     tops = {a for a, b in to.items() if b == container and container > 0}
     own = {n.number for n in page.nodes if n.article}
-    for chosen in (tops, own, {0}):
-        if chosen:
-            found = below(chosen, gone if chosen is not own else set())
-            if found or chosen == own:
-                return found
-    return ""
+    known = any(page.nodes[a].label.split(".")[0] in _ARTICLES for a in tops)
+    for chosen in (tops, own) if known else (own, tops):
+        found = below(chosen, gone if chosen is not own else set()) if chosen else ""
+        if found:
+            return found
+    return "" if own else below({0}, gone)
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

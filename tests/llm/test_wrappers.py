@@ -1,4 +1,5 @@
 import itertools
+import random
 
 from llm.tables import sentence
 
@@ -56,6 +57,36 @@ def test_only_the_commonest_text_of_a_template_node_is_left_out(spark):
     assert texts(op.extract(pages(spark, rows))) == expected
 
 
+def test_articles_behind_long_tables(spark):
+    rows, expected = [], {}
+    for k in range(9):
+        cells = "".join(f"<tr><td>{sentence(200 * k + j, 2)}</td><td>{j}</td></tr>"
+                        for j in range(150 + k % 3))
+        expected[k] = sentence(k, 20)
+        rows.append((k, "http://a.net/x", f"<body><div><table>{cells}</table></div>"
+                                          f"<article><p>{expected[k]}</p></article>"))
+        # only one page of this host has an article
+        rows.append((k + 50, "http://b.net/x", f"<body><div><table>{cells}</table></div>" + (
+            f"<article><p>{expected[k]}</p></article>" if k == 4 else "")))
+    expected[54] = expected[4]
+    found = texts(op.extract(pages(spark, rows)))
+    assert {k: found[k] for k in expected} == expected
+
+
+def test_halved_and_deep_matchings(monkeypatch):
+    rng = random.Random(3)
+    trees = ["0:a " + " ".join(f"1:{rng.choice('bcd')}" + rng.choice(("", " 2:e", " 2:e 2:f"))
+                               for _ in range(40)) for _ in range(8)]
+    pairs = list(itertools.combinations(map(op.tree_of, trees), 2))
+    expected = [len(op.align(x, y)) for x, y in pairs]
+    monkeypatch.setattr(op, "HELD_PAIRS", 6)
+    for (x, y), size in zip(pairs, expected):
+        found = op.align(x, y)
+        assert len(found) == size and sorted(found.values()) == [found[a] for a in sorted(found)]
+    deep = " ".join(f"{k}:div" for k in range(5000))
+    assert len(op.align(op.tree_of(deep), op.tree_of(deep + " 5000:p"))) == 5000
+
+
 def test_pages_that_are_all_alike_keep_their_text(spark):
     html = page(1)[0]
     found = op.extract(pages(spark, [(k, "http://a.b/c", html) for k in range(9)]))
