@@ -1,10 +1,12 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of 16 or more letters, digits and +/_- within a word. The forest sees its
+A candidate is a run of 16 or more letters, digits and +/_- within a word, or what the text assigns
+to a credential's name within a word, whatever its length and punctuation. The forest sees its
 length, how kinds of characters follow each other, how much of it is made of pieces that words of the
 corpus begin with, whether it looks like part of a path, and the words around it. It is trained on
 labelled findings: candidates that the text itself assigns to a credential's name are secrets,
-candidates without such a name are not. Each finding is learned from twice, the second time as if
+candidates without such a name are not. Not labelled, but scored, are short values of one kind of
+characters (they may be words or counts) and runs without a name that look like keys. Each finding is learned from twice, the second time as if
 it stood between plain words, so that a secret is known by its looks too.
 
 All steps are DataFrame operations and Spark's own forest.
@@ -21,6 +23,11 @@ from pyspark.sql import functions as F
 from signalwatch.llm.common import as_rows, picked, settle
 
 LEAST_LENGTH = 16
+#: Shorter values of a credential's name are scored, but not learned from.
+LEAST_LABELLED = 6
+#: A run without a name looks like a key, and is not learned from, if so large a share of it are
+#: turns between letters and digits, and it has so many different characters.
+KEY_TURNS, KEY_CHARACTERS = 0.15, 8
 #: Findings of each label that the forest is fitted on, the first by hash.
 FIT_FINDINGS = 10_000
 TREES, DEPTH, SEED = 40, 8, 5
@@ -34,6 +41,11 @@ _RUN = f"[A-Za-z0-9+/_-]{{{LEAST_LENGTH},}}={{0,2}}"
 # fixed values: names that secrets are assigned to
 _CREDENTIAL = ("(?i)(token|secret|passw|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key|"
                "auth|bearer|credential|signature|client[_-]?id|session)")
+# a name, what assigns, and as group 2 the value with its opening quote, in the last word of a few
+_VALUE = (_CREDENTIAL.replace("|auth|", "|auth(?!or)|")
+          + "[A-Za-z0-9_.-]*[\"'`\\])]*\\s*(?::=|=>|=|:)\\s*"
+          + "(\"[^\"\\s]+|'[^'\\s]+|`[^`\\s]+|[^\\s\"'`=:>][^\\s\"'`]*)(?=\\S*$)")
+_ASSIGNS = _VALUE[:_VALUE.index("(\"[^")] + "[\"'`]?"
 _NAME_ENDS = "(?i)[\"']?\\s*(=|:|:=|=>)\\s*[\"'`]?$"
 
 _LOOKS = ("length", "digits", "capitals", "smalls", "others", "digit_turns", "case_turns", "distinct",
@@ -60,37 +72,67 @@ def dictionary(documents: DataFrame) -> list[str]:
             .select("begin").orderBy("begin").collect()]
 
 
+def _mixed(run: Column) -> Column:
+    """Neither all letters nor all digits and punctuation."""
+    return run.rlike("[0-9]") & run.rlike("\\p{L}")
+
+
 def candidates(documents: DataFrame) -> DataFrame:
     """``doc_id, word_at, run_at, run, before, word, ...`` of every candidate of every text.
 
-    ``word_at`` counts words from 0, ``run_at`` runs within a word.
+    ``word_at`` counts words from 0, ``run_at`` within a word first runs, then values that are no run.
     """
     placed = picked(documents, doc_id="long", text="string") \
-        .select("doc_id", _words(F.col("text")).alias("words")) \
-        .select("doc_id", "words", F.posexplode("words").alias("word_at", "word")) \
-        .where(F.length("word") >= LEAST_LENGTH).where(F.col("word").rlike(_RUN))
+        .select("doc_id", _words(F.col("text")).alias("words"),
+                F.coalesce(F.col("text").rlike(_CREDENTIAL), F.lit(False)).alias("names")) \
+        .select("doc_id", "words", "names", F.posexplode("words").alias("word_at", "word"))
 
     def near(offset: int) -> Column:
         return F.coalesce(F.get("words", F.col("word_at") + offset), F.lit(""))
 
-    return placed.select(
+    wide = F.when(F.col("names"), F.concat_ws(" ", near(-2), near(-1), "word")).otherwise("")
+    is_run = (F.length("word") >= LEAST_LENGTH) & F.col("word").rlike(_RUN)
+    runs = F.when(is_run, F.transform(
+        F.regexp_extract_all("word", F.lit(f"({_RUN})"), F.lit(1)),
+        lambda run: F.struct(run.alias("run"), F.substr(
+            "word", F.lit(1), F.instr("word", run) - 1).alias("before")))).otherwise(F.array())
+
+    def value(whole: Column, raw: Column) -> Column:
+        quoted = raw.rlike("^[\"'`]")
+        lead = F.substr(whole, F.lit(1), F.length(whole) - F.length(raw))
+        return F.struct(
+            F.when(quoted, F.substr(raw, F.lit(2)))
+            .otherwise(F.regexp_replace(raw, "[,;.)\\]}]+$", "")).alias("run"),
+            F.when(quoted, F.concat(lead, F.substr(raw, F.lit(1), F.lit(1)))).otherwise(lead)
+            .alias("before"))
+
+    values = F.when(F.col("wide").rlike(_VALUE), F.zip_with(
+        F.regexp_extract_all("wide", F.lit(_VALUE), F.lit(0)),
+        F.regexp_extract_all("wide", F.lit(_VALUE), F.lit(2)), value)).otherwise(F.array())
+    found = placed.withColumn("wide", wide) \
+        .where(is_run | F.col("wide").rlike(_VALUE)) \
+        .withColumns({"runs": runs, "values": values}) \
+        .withColumn("values", F.filter("values", lambda v: (v["run"] != "")
+                                       & ~F.startswith(F.lit(REDACTED), v["run"])
+                                       & ~F.array_contains(F.col("runs.run"), v["run"])))
+    return found.select(
         "doc_id", "word_at", "word", near(-1).alias("one_before"), near(-2).alias("two_before"),
-        near(1).alias("after"),
-        F.posexplode(F.regexp_extract_all("word", F.lit(f"({_RUN})"), F.lit(1)))
-        .alias("run_at", "run")
-    ).withColumn("before", F.expr("substring(word, 1, instr(word, run) - 1)"))
+        near(1).alias("after"), F.posexplode(F.concat("runs", "values")).alias("run_at", "place")) \
+        .select("doc_id", "word_at", "word", "one_before", "two_before", "after", "run_at",
+                "place.run", "place.before")
 
 
 def featured(found: DataFrame, beginnings: list[str]) -> DataFrame:
     """Candidates with their features and ``label``: 1 if assigned to a credential's name, 0 if
-    there is no such name, else null."""
+    there is no such name and they do not look like a key, else null."""
     run, n = F.col("run"), F.length("run")
 
     def share(pattern: str) -> Column:
         return F.size(F.regexp_extract_all("run", F.lit(pattern), F.lit(0))) / n
 
     known = F.split(F.lit(" ".join(beginnings)), " ")
-    pieces = F.transform(F.sequence(F.lit(1), n - 2),
+    n_pieces = F.greatest(n - 2, F.lit(1))
+    pieces = F.transform(F.sequence(F.lit(1), n_pieces),
                          lambda at: F.lower(F.substr(run, at, F.lit(3))))
     kinds = F.regexp_extract_all("run", F.lit("[0-9]+|[a-z]+|[A-Z]+|[^0-9a-zA-Z]+"), F.lit(0))
     lead = F.concat_ws(" ", "one_before", "before")  # what stands right before the run
@@ -106,7 +148,7 @@ def featured(found: DataFrame, beginnings: list[str]) -> DataFrame:
         "distinct": F.size(F.array_distinct(F.split("run", ""))) / n,
         "longest_kind": F.array_max(F.transform(kinds, F.length)) / n,
         "is_hex": run.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "is_number": run.rlike("^[0-9]+$"),
-        "coverage": F.size(F.filter(pieces, lambda p: F.array_contains(known, p))) / (n - 2),
+        "coverage": F.size(F.filter(pieces, lambda p: F.array_contains(known, p))) / n_pieces,
         "slashes": share("/"),
         "path_around": F.col("word").rlike("://|^[./~]|\\.[a-z]{2,4}(/|$)"),
         "named": named, "assigned": assigned, "quoted": F.col("before").rlike("[\"'`]$"),
@@ -114,8 +156,11 @@ def featured(found: DataFrame, beginnings: list[str]) -> DataFrame:
         "plain_before": F.col("one_before").rlike(plain), "plain_after": F.col("after").rlike(plain),
     }
     return found.withColumns({k: v.cast("double") for k, v in features.items()}).withColumn(
-        "label", F.when((F.col("named") == 1) & (F.col("assigned") == 1), 1.0)
-        .when((F.col("named") == 0), 0.0))
+        "label", F.when((F.col("named") == 1) & (F.col("assigned") == 1) & (
+            (n >= LEAST_LENGTH) | _mixed(run) & (n >= LEAST_LABELLED)), 1.0)
+        .when((F.col("named") == 0) & ~(
+            _mixed(run) & (F.col("digit_turns") >= KEY_TURNS)
+            & (F.col("distinct") * n >= KEY_CHARACTERS)), 0.0))
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
@@ -173,13 +218,23 @@ def findings(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def redacted(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All documents with the same columns; in ``text`` each secret is replaced by ``[SECRET]``,
-    wherever it stands. Documents without a doc_id stay as they are."""
+    wherever it stands: a short one where no letter or digit joins it, one of a single kind of
+    characters (which may be a word) only where it is assigned to a credential's name. Documents
+    without a doc_id stay as they are."""
     secrets = scan(documents, threshold).where("secret") \
         .groupBy("doc_id").agg(F.collect_set("run").alias("runs"))  # of one text
+
+    def placed(run: Column) -> Column:
+        exact = F.concat(F.lit("\\Q"), F.replace(run, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+        alone = F.when(_mixed(run), "((?<![A-Za-z0-9]))").otherwise(f"({_ASSIGNS})")
+        return F.concat(alone, exact, F.lit("(?![A-Za-z0-9])"))
+
     longest_first = F.sort_array(F.transform("runs", lambda r: F.struct(
         F.length(r).alias("n"), r.alias("run"))), asc=False)
     clean = F.aggregate(longest_first, F.col("row.text").cast("string"),
-                        lambda t, r: F.replace(t, r["run"], F.lit(REDACTED)))
+                        lambda t, r: F.when(r["n"] >= LEAST_LENGTH,
+                                            F.replace(t, r["run"], F.lit(REDACTED)))
+                        .otherwise(F.regexp_replace(t, placed(r["run"]), F.lit(f"$1{REDACTED}"))))
     return as_rows(documents) \
         .join(secrets, F.col("row.doc_id").cast("long") == F.col("doc_id"), "left") \
         .withColumn("row", F.when(F.col("runs").isNotNull(), F.col("row").withField("text", clean))

@@ -44,6 +44,25 @@ def test_secrets_are_told_from_look_alikes(spark):
     assert {(r.doc_id, r.run) for r in found} == {*secrets.items(), (900, bare)}
 
 
+def test_short_and_punctuated_values_of_credentials(spark):
+    texts, _ = corpus()
+    plain = {800: 'password = "hunter2Secret"', 801: "api_key: 8f3a91c2d4", 802: "pwd='p@ssW0rd!2024'",
+             803: '{"token":"a1b2c3","password":"q.9,x;z8"}', 804: 'secret ="k9$k8" k9$k8 xk9$k8x'}
+    clean = {800: 'password = "[SECRET]"', 801: "api_key: [SECRET]", 802: "pwd='[SECRET]'",
+             803: '{"token":"[SECRET]","password":"[SECRET]"}',
+             804: 'secret ="[SECRET]" [SECRET] xk9$k8x'}
+    docs = documents(spark, texts | {k: f"{sentence(k)} {t} {sentence(k + 1)}"
+                                     for k, t in plain.items()})
+    found = dict(op.redacted(docs).where("doc_id >= 800").select("doc_id", "text").collect())
+    assert found == {k: f"{sentence(k)} {t} {sentence(k + 1)}" for k, t in clean.items()}
+
+
+def test_bare_keys_are_no_negatives(spark):
+    found = op.featured(op.candidates(documents(spark, {
+        1: "x " + key(random.Random(1)), 2: "x 1234567890123456", 3: "x " + "kadren" * 4})), ["kad"])
+    assert rows(found.fillna(-1.0, ["label"]), "doc_id", "label") == [(1, -1.0), (2, 0.0), (3, 0.0)]
+
+
 def test_redaction_keeps_the_rest(spark):
     texts, secrets = corpus()
     texts[3] = texts[3] + " again " + secrets[3]
