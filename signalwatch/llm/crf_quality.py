@@ -22,10 +22,8 @@ from pyspark.sql import functions as F
 from signalwatch.llm.common import mixed, picked, word_spans
 
 #: At most so many labelled documents of each quality are fitted on, the first by hash of doc_id.
-FIT_DOCUMENTS = 1000
-#: Lines of a fitting document that are learned from: at most so many, from its start, in chains
-#: of at most so many.
-FIT_LINES = 192
+FIT_DOCUMENTS = 2000
+#: All lines of a fitting document are learned from, in chains of at most so many.
 FIT_CHAIN = 24
 #: Least share of a document's words in content lines.
 LEAST_CONTENT = 0.5
@@ -174,9 +172,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.5)
     return w
 
 
-def fit(texts: list[np.ndarray], good: list[bool], steps: int = 150, rate: float = 0.3) -> Crf:
+def fit(texts: list[np.ndarray], good: list[bool], steps: int = 200, rate: float = 0.3) -> Crf:
     """Fit on the feature rows of texts and whether their documents are good."""
-    texts, good = zip(*[(t[:FIT_LINES], g) for t, g in zip(texts, good) if len(t)]) \
+    texts, good = zip(*[(t, g) for t, g in zip(texts, good) if len(t)]) \
         if any(map(len, texts)) else ((), ())
     d = len(FEATURES)
     crf = Crf(np.zeros((2, d)), np.zeros((2, 2)))
@@ -242,7 +240,7 @@ def fit(texts: list[np.ndarray], good: list[bool], steps: int = 150, rate: float
 def _rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         yield pd.DataFrame({"quality": batch.quality, "rows": [
-            measured(t)[1][:FIT_LINES].astype("<f4").tobytes() for t in batch.text]})
+            measured(t)[1].astype("<f4").tobytes() for t in batch.text]})
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Crf:

@@ -73,6 +73,19 @@ def test_learned_from_labels_and_decided_by_content_share(spark):
     assert again == found
 
 
+def test_ends_of_long_documents_are_learned_from():
+    def lines(seed, n, junk):
+        made = [sentence(seed + k, 12) for k in range(n)]
+        return [" | ".join(t.upper().split()) if junk else t.capitalize() + "." for t in made]
+
+    # documents differ only behind line 200
+    both = [op.measured("\n".join(lines(0, 200, False) + lines(1000, 600, junk)))[1]
+            for junk in (False, True)]
+    crf = op.fit(both * 3, [True, False] * 3)
+    good, bad = (crf.decode(rows)[200:].mean() for rows in both)
+    assert good > 0.95 and bad < 0.05
+
+
 def test_without_labels_all_is_content(spark):
     found = op.quality(documents(spark, {1: page(1, True), 2: page(2, False)}), labels(spark, {}))
     assert rows(found, "doc_id", "kept", "content_share") == [(1, True, 1.0), (2, True, 1.0)]
