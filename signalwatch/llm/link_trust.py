@@ -9,6 +9,7 @@ host's links are ever gathered.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 from signalwatch.llm.common import picked, settle
 
 DAMPING = 0.85
-#: Rounds of propagation; each is written once.
-MOST_ROUNDS = 20
 #: Propagation ends when all hosts together change by less.
 SMALL_CHANGE = 1e-6
+#: Rounds of propagation, each is written once: a round changes at most DAMPING of what the one before
+#: did, and the first at most 2, so that the change is small by then.
+MOST_ROUNDS = math.ceil(math.log(SMALL_CHANGE / 2) / math.log(DAMPING)) + 1
 #: A host is blocked if its distrust is more than so many times its trust.
 TIMES_TRUST = 1.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

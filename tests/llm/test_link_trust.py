@@ -71,6 +71,23 @@ def test_pagerank_against_matrices(spark):
     assert np.allclose([got.get(f"h{i}", 0.0) for i in range(n)], rank, atol=1e-4)
 
 
+def test_a_long_chain_against_a_solved_system(spark):
+    n, d = 31, op.DAMPING  # each host links to the next one, and only the last is blocked
+    graph = spark.createDataFrame([(f"h{k}", "bad.net" if k == n - 2 else f"h{k + 1}", 1)
+                                   for k in range(n - 1)], "source string, target string, n long")
+    found = {r.host: r for r in op.host_trust(
+        pages(spark, []), (op.Rule("block", "net/"),), graph).collect()}
+    # distrust walks from the last host back; what the first one holds goes back to the seed
+    step = np.zeros((n, n))
+    step[np.arange(1, n), np.arange(n - 1)] = 1
+    step[0, n - 1] = 1
+    start = np.eye(n)[n - 1]
+    rank = np.linalg.solve(np.eye(n) - d * step.T, (1 - d) * start)
+    got = [found["bad.net" if k == n - 1 else f"h{k}"].distrust for k in range(n)]
+    assert np.allclose(got, rank, atol=1e-5) and min(got) > 0
+    assert all(r.blocked and r.trust == 0 for r in found.values())
+
+
 def test_distrust_goes_against_links_and_trust_along(spark):
     link = '<p><A class=x HREF="http://{}/p">l</a> <a href=\'//{}?q\'>m</a><a href="/own">o</a>'
     some = [(1, "http://friend.com/", ""), (2, "http://b.example.net/en/", link.format("good.com", "good.com")),
