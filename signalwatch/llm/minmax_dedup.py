@@ -34,8 +34,8 @@ BANDS = 40
 PERMUTATIONS_PER_BAND = 2
 #: Documents of one block when members of a leader's buckets are compared.
 BLOCK = 500
-#: How far below the threshold a signature's estimate may lie: over four deviations at 160 values.
-SLACK = 0.14
+#: How far below the threshold a signature's estimate may lie: nearly seven deviations at 160 values.
+SLACK = 0.22
 
 
 def shingle_hashes(text: str | None, width: int = 2) -> np.ndarray:
@@ -167,7 +167,8 @@ def near_duplicates(documents: DataFrame, percent: int = 80, width: int = 2,
     ``component_id`` is the smallest doc_id that can be reached by links, ``kept`` marks it,
     ``class_id`` the smallest doc_id with an equal shingle set, ``n_links`` counts the confirmed
     links of the class that were needed to join components. Two sets of a Jaccard similarity of 0.8
-    meet in no band with probability ``(1 - 0.8 ** 4) ** 40`` < 1e-9.
+    meet in no band with probability ``(1 - 0.8 ** 4) ** 40``, and a signature's estimate is too low
+    for a comparison with less than 1e-10: together < 1e-9.
 
     Null and empty texts, and texts of white space only, have 0 shingles, are linked with nothing
     and kept. Equal rows count once; a doc_id with several texts has a row for each of their classes.

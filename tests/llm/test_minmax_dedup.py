@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -123,3 +124,9 @@ def test_components(spark):
             up[max(x, y)] = min(x, y)
     found = components(spark.createDataFrame(links, "a long, b long"))
     assert rows(found, "node", "component") == sorted((i, top(i)) for i in up)
+
+
+def test_chance_of_a_lost_link():
+    n, least = 2 * op.BANDS * op.PERMUTATIONS_PER_BAND, 0.8 - op.SLACK
+    too_low = sum(math.comb(n, k) * 0.8 ** k * 0.2 ** (n - k) for k in range(n + 1) if k / n < least)
+    assert too_low + (1 - 0.8 ** 4) ** op.BANDS < 1e-9
