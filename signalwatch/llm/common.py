@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from signalwatch.storage import fresh_path, settle
 
-__all__ = ["BASE", "as_rows", "components", "fresh_path", "mixed", "picked", "read_table", "settle",
-           "without", "word_hashes", "word_spans"]
+__all__ = ["BASE", "as_rows", "components", "fresh_path", "mixed", "picked", "read_table", "run_hashes",
+           "settle", "without", "word_hashes", "word_spans"]
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -84,11 +84,16 @@ def word_spans(raw: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndar
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
         return start, end, np.empty(0, np.uint64)
+    return start, end, run_hashes(raw, start, end, fold)
+
+
+def run_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray,
+               fold: bool = False) -> np.ndarray:
+    """A 64-bit hash of each run of bytes ``raw[start:end]``; ``fold`` takes A-Z as a-z."""
     powers, inverse = _power_tables(len(raw) + 1)
     running = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((_FOLDED if fold else _EXACT)[raw] * powers[:len(raw)], out=running[1:])
-    hashes = (running[end] - running[start]) * inverse[start] + (end - start).astype(np.uint64)
-    return start, end, mixed(hashes)
+    return mixed((running[end] - running[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
 def word_hashes(text: str | None) -> np.ndarray:

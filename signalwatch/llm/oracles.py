@@ -8,6 +8,8 @@ _MAY_DIFFER = " + ".join(f"CAST(width >= {n} AS INTEGER)" for n in MAY_DIFFER)
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 ORACLES = {
     # all pairs that share a shingle, and everything that can be reached by links
     "op1_minmax_dedup": rf"""
@@ -78,4 +80,83 @@ ORACLES = {
                max(n_best) AS n_best
         FROM best WHERE n_best >= width - ({_MAY_DIFFER})
         GROUP BY doc_id, item_id""",
+    # masks by document, then every order and step
+    "op12_filter_audit": rf"""
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+            FROM documents),
+        known AS (
+            SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good,
+                   max(CAST(toxic = 1 AS INTEGER)) AS toxic
+            FROM labels GROUP BY doc_id),
+        failing AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                   (CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END)
+                   || (CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END)
+                   || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g'))
+                                 > 10 * length(text) THEN 'C' ELSE '' END)
+                   || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+                   || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END)
+                   AS failed
+            FROM d LEFT JOIN known USING (doc_id)),
+        counts AS (
+            SELECT part, failed, count(*) AS n, sum(good) AS n_good, sum(toxic) AS n_toxic
+            FROM failing GROUP BY ALL),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+            FROM letters AS a, letters AS b, letters AS c, letters AS d, letters AS e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        steps AS (
+            SELECT counts.*, filter_order, step, filter_order[step] AS letter,
+                   contains(failed, filter_order[step]) AS fails,
+                   step > 1 AND len(list_filter(range(1, step),
+                                    lambda k: contains(failed, filter_order[k]))) > 0 AS gone
+            FROM counts, orders, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step)),
+        sums AS (
+            SELECT part, filter_order, step, any_value(letter) AS letter,
+                   coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0) AS kept,
+                   coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS removed,
+                   coalesce(sum(n) FILTER (fails AND gone), 0) AS redundant,
+                   coalesce(sum(n) FILTER (fails AND length(failed) = 1), 0) AS unique_fails,
+                   coalesce(sum(n_good) FILTER (fails AND NOT gone), 0) AS good_lost,
+                   coalesce(sum(n_toxic) FILTER (fails AND NOT gone), 0) AS toxic_lost
+            FROM steps GROUP BY part, filter_order, step)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept,
+               CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+               CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+               CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+        FROM sums""",
+    # all documents that share a term with an item
+    "op13_lexical_search": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                      '{_TERM}') AS ws
+            FROM documents),
+        total AS (SELECT count(*) FILTER (len(ws) > 0) AS n, sum(len(ws)) AS l FROM d),
+        tf AS (
+            SELECT r, w, any_value(doc_id) AS doc_id, any_value(n) AS n, count(*) AS tf
+            FROM (SELECT r, doc_id, len(ws) AS n, unnest(ws) AS w FROM d) GROUP BY r, w),
+        df AS (SELECT w, count(*) AS df FROM tf GROUP BY w),
+        terms AS (
+            SELECT item_id, w, count(*) AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all(
+                             translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}')) AS w
+                  FROM (SELECT DISTINCT item_id, text FROM benchmark))
+            GROUP BY ALL),
+        scores AS (
+            SELECT item_id, r, any_value(doc_id) AS doc_id,
+                   CAST(sum(times * CAST(floor(1000 * ln((2 * total.n + 2) / (2 * df + 1))) AS BIGINT)
+                            * ((1000000000 * tf)
+                               // (1000 * tf + 12 * (100 - 25 + ((25 * tf.n * total.n) // l)))))
+                        AS BIGINT) AS score
+            FROM terms JOIN tf USING (w) JOIN df USING (w), total
+            GROUP BY item_id, r)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)
+                             AS INTEGER) AS rank, doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY rank <= 20""",
 }

@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from signalwatch.llm import (
     arrow_tokens,
     crf_quality,
+    filter_audit,
     importance,
+    lexical_search,
     link_trust,
     minmax_dedup,
     packing,
     secret_forest,
+    source_mix,
     spaced_seeds,
     weak_toxicity,
     wrappers,
@@ -65,6 +68,21 @@ def op10_link_trust(spark: SparkSession, folder: str) -> DataFrame:
     return link_trust.judge_urls(read_table(spark, folder, "pages"))
 
 
+def op11_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mix.taken(read_table(spark, folder, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, folder, "documents"),
+                              read_table(spark, folder, "labels"))
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, folder, "documents"),
+                                 read_table(spark, folder, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minmax_dedup, op2_crf_quality, op3_importance, op4_secret_forest, op5_weak_toxicity,
-    op6_spaced_seeds, op7_arrow_tokens, op8_packing, op9_wrappers, op10_link_trust)}
+    op6_spaced_seeds, op7_arrow_tokens, op8_packing, op9_wrappers, op10_link_trust,
+    op11_source_mix, op12_filter_audit, op13_lexical_search)}

@@ -21,9 +21,16 @@ CONTRACTS = {
     "op9_wrappers": ["page_id bigint", "url string", "text string", "n_chars bigint"],
     "op10_link_trust": ["page_id bigint", "host string", "path string", "rule string",
                         "verdict string"],
+    "op11_source_mix": ["doc_id bigint", "size bigint", "source_size bigint", "target double",
+                        "taken bigint"],
+    "op12_filter_audit": ["part string", "filter_order string", "step int", "kept bigint",
+                          "removed bigint", "redundant bigint", "unique_fails bigint",
+                          "good_lost bigint", "toxic_lost bigint", "shapley bigint"],
+    "op13_lexical_search": ["item_id bigint", "rank int", "doc_id bigint", "score bigint"],
 }
 ROWS_OF = {"op9_wrappers": "pages", "op10_link_trust": "pages", "op8_packing": None,
-           "op4_secret_forest": None, "op6_spaced_seeds": None}
+           "op4_secret_forest": None, "op6_spaced_seeds": None, "op12_filter_audit": None,
+           "op13_lexical_search": None}
 
 
 def test_all_are_registered():
