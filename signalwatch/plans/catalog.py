@@ -15,7 +15,7 @@ from signalwatch.operators import alerts, audit, metrics, quality, series, signa
 from signalwatch.operators.copies import all_copies
 from signalwatch.operators.daily import daily_sales, items_analysed
 from signalwatch.operators.keys import check_key, dense_key
-from signalwatch.plans import features, models, reports, star
+from signalwatch.plans import features, layers, models, reports, star
 from signalwatch.plans.warehouse import (
     NATURAL_KEYS,
     Warehouse,
@@ -703,4 +703,4 @@ QUERIES: dict[str, Query] = {
     "linear_comparison": linear_comparison,
     "model_checks": model_checks,
     "run_volumes": run_volumes,
-}
+} | layers.QUERIES

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from signalwatch import constants as C
+from signalwatch.plans import layers
 from signalwatch.plans.catalog import LISTED_CATEGORIES, SERIES_CATEGORY, TABLE_PROFILES
 from signalwatch.sources.retail_tables import DELIVERED_STATUS, NO_CATEGORY
 
@@ -490,4 +491,4 @@ def oracles() -> dict[str, str]:
     found |= {
         name: f"WITH {_BASE}{_ORDERED}{select}" for name, select in _ORDERED_SELECTS.items()
     }
-    return found
+    return found | layers.SQL
