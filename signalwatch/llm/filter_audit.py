@@ -24,7 +24,7 @@ from signalwatch.llm.common import picked, settle
 
 #: The filters' letters; filter number i is bit 2 ** i of a mask.
 FILTERS = "ABCDE"
-#: Bytes of texts that begin alike and may be in one task; also what a partition holds on average.
+#: Bytes of texts that begin alike and may be in one task, if that is not over twice an average partition.
 PREFIX_BYTES = 16 << 20
 #: Code points of the first prefix; each further one is LONGER times as long.
 FIRST_PREFIX, LONGER = 8, 4
@@ -220,6 +220,7 @@ def masks(documents: DataFrame, prefix_bytes: int = PREFIX_BYTES,
         .select("doc_id", "task", "local", "head", "n_bytes", "mark", "text")
     n_bytes = distinct.agg(F.sum("n_bytes")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // prefix_bytes))
+    prefix_bytes = min(prefix_bytes, 2 * n_bytes // parts + 1)
     least = (
         _with_prefixes(distinct, prefix_bytes).select("task", "local", "doc_id", "prefix", "text")
         .repartitionByRange(parts, "prefix").sortWithinPartitions("prefix")
