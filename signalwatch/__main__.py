@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import SparkSession
 
+from signalwatch import constants as C
 from signalwatch.plans import models, retail_run
+from signalwatch.plans.ensembles import BoostedTrees, forest_standalone
 from signalwatch.session import session, shuffle_parts
 from signalwatch.sources.staging import SOURCE_FILES
 from signalwatch.storage import scratch, size_of
@@ -59,10 +62,11 @@ def _run(spark: SparkSession, options: argparse.Namespace, names: dict[str, str]
     if options.audit:
         retail_run.audit(spark, options.target).show(truncate=False)
 
-    forest = models.random_forest_standalone if options.standalone else models.random_forest
+    forest = partial(forest_standalone, n_features=len(C.FEATURES_STANDALONE)) \
+        if options.standalone else models.random_forest
     chosen = {
         "random_forest": lambda: forest(trees=options.trees, depth=options.depth),
-        "boosted_trees": lambda: models.boosted_trees(rounds=options.rounds),
+        "boosted_trees": lambda: BoostedTrees(rounds=options.rounds),
     }
     if options.standalone:
         trends = retail_run.search_file(

@@ -15,7 +15,9 @@ from signalwatch.operators import alerts, audit, metrics, quality, series, signa
 from signalwatch.operators.copies import all_copies
 from signalwatch.operators.daily import daily_sales, items_analysed
 from signalwatch.operators.keys import check_key, dense_key
+from signalwatch.operators.trees import Growth
 from signalwatch.plans import features, layers, models, reports, star
+from signalwatch.plans.ensembles import BoostedTrees, forest_standalone
 from signalwatch.plans.warehouse import (
     NATURAL_KEYS,
     Warehouse,
@@ -45,8 +47,17 @@ QUERY_MODELS = {
     "boosted_trees": lambda: models.boosted_trees(rounds=10),
 }
 
+# of the regularised ensembles; a stump is one split, which SQL can find too
+REGULARISED_MODELS = {
+    "random_forest": lambda: forest_standalone(trees=20, depth=8),
+    "boosted_trees": lambda: BoostedTrees(rounds=10),
+}
+STUMP = BoostedTrees(rounds=1, rate=1.0, growth=Growth(depth=1, l1=0.1, l2=1.5), row_share=1.0,
+                     column_share=1.0)
+STUMP_FEATURES = ("lag_1", "moving_avg_3", "month", "quarter", "category_code")
+
 _built: dict[tuple[str, str], Warehouse] = {}
-_evaluated: dict[tuple[str, str], models.Evaluation] = {}
+_evaluated: dict[tuple[str, str, str], models.Evaluation] = {}
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
@@ -121,12 +132,14 @@ def _analysed(spark: SparkSession, folder: str) -> DataFrame:
     return items_analysed(w["fact_sales"], w["dim_product"], w["dim_trend"], w["dim_review"])
 
 
-def _evaluation(spark: SparkSession, folder: str) -> models.Evaluation:
-    place = (spark.sparkContext.applicationId, folder)
+def _evaluation(spark: SparkSession, folder: str, which: str = "mllib") -> models.Evaluation:
+    place = (spark.sparkContext.applicationId, folder, which)
     if place not in _evaluated:
-        _evaluated[place] = models.evaluate(
-            _daily_features(spark, folder), models=QUERY_MODELS
-        )
+        names, chosen = {
+            "mllib": (C.FEATURES, QUERY_MODELS), "regularised": (C.FEATURES, REGULARISED_MODELS),
+            "stump": (STUMP_FEATURES, {"stump": lambda: STUMP}),
+        }[which]
+        _evaluated[place] = models.evaluate(_daily_features(spark, folder), names, chosen)
     return _evaluated[place]
 
 
@@ -472,6 +485,30 @@ def linear_comparison(spark, folder):
     return shown(found.comparison)
 
 
+def stump_comparison(spark, folder):
+    """The comparison of one regularised split."""
+    return shown(_evaluation(spark, folder, "stump").comparison)
+
+
+def stump_importance(spark, folder):
+    return shown(reports.top_features(_evaluation(spark, folder, "stump").importance))
+
+
+def stump_splits(spark, folder):
+    """The split that was found on the train part, and what its sides predict."""
+    fitted = _evaluation(spark, folder, "stump").model
+    root, left, right = (fitted.trees[0][k] for k in (1, 2, 3))
+    return shown(spark.createDataFrame(
+        [(STUMP_FEATURES[root.feature], fitted.cuts[root.feature][root.bin], root.gain, fitted.base,
+          left.value, left.n_rows, right.value, right.n_rows)],
+        "feature string, cut double, gain double, base double, left_value double, left_rows long, "
+        "right_value double, right_rows long"))
+
+
+def regularised_comparison(spark, folder):
+    return shown(_evaluation(spark, folder, "regularised").comparison)
+
+
 def model_checks(spark, folder):
     """What holds for the comparison of any models, whatever their scores."""
     found = _evaluation(spark, folder)
@@ -701,6 +738,10 @@ QUERIES: dict[str, Query] = {
     "feature_importance": feature_importance,
     "run_summary": run_summary,
     "linear_comparison": linear_comparison,
+    "stump_comparison": stump_comparison,
+    "stump_importance": stump_importance,
+    "stump_splits": stump_splits,
+    "regularised_comparison": regularised_comparison,
     "model_checks": model_checks,
     "run_volumes": run_volumes,
 } | layers.QUERIES

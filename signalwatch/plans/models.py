@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from signalwatch import constants as C
 from signalwatch.operators.metrics import regression_metrics
 from signalwatch.operators.splits import POSITION, fold_ranges, in_time_order
+from signalwatch.plans.ensembles import BoostedTrees, forest_standalone
 from signalwatch.plans.features import model_rows
 
 
@@ -36,7 +38,8 @@ def random_forest(trees: int = 300, depth: int = 15, leaf_rows: int = 1,
 
 def random_forest_standalone(trees: int = 300, depth: int = 15, seed: int = 42
                              ) -> RandomForestRegressor:
-    """The regularised forest: two rows per leaf, a root share of the columns per split."""
+    """MLlib's nearest to the regularised forest: two rows per leaf, a root share of the columns per
+    split; it knows no minimum split size."""
     return random_forest(trees, depth, leaf_rows=2, columns="sqrt", seed=seed)
 
 
@@ -50,7 +53,15 @@ def boosted_trees(rounds: int = 400, depth: int = 5, rate: float = 0.08,
 
 
 def default_models() -> dict[str, Callable]:
-    return {"random_forest": random_forest, "boosted_trees": boosted_trees}
+    """The forest, and boosted trees with L1 and L2 terms and columns drawn for each tree."""
+    return {"random_forest": random_forest, "boosted_trees": BoostedTrees}
+
+
+def default_models_standalone() -> dict[str, Callable]:
+    """A forest whose splits have a minimum size, and the same boosted trees."""
+    n_features = len(C.FEATURES_STANDALONE)
+    return {"random_forest": lambda: forest_standalone(n_features=n_features),
+            "boosted_trees": BoostedTrees}
 
 
 def linear(seed: int = 42) -> LinearRegression:
@@ -78,7 +89,7 @@ class Evaluation:
     folds: DataFrame        # one row per model and fold
     winner: str
     importance: DataFrame   # the winner's features
-    model: Model            # the winner, fitted on the train part
+    model: Model            # the winner, or any with ``transform``, fitted on the train part
 
 
 def _score(model: Model, rows: DataFrame) -> tuple[float, float]:
@@ -147,7 +158,8 @@ def evaluate(features: DataFrame, names: Sequence[str] = C.FEATURES,
     winner = comparison.orderBy(F.col(select_by).desc(), "model_order").first()["model"]
     model = next(m for name, part, _, _, _, m in done if name == winner and part == "holdout")
     found = getattr(model, "featureImportances", None)  # of trees only
-    weights = [] if found is None else [(n, float(w)) for n, w in zip(names, found.toArray())]
+    weights = [] if found is None else [
+        (n, float(w)) for n, w in zip(names, found if isinstance(found, np.ndarray) else found.toArray())]
     importance = spark.createDataFrame(weights, "feature string, importance double")
     marked = comparison.withColumn("winner", F.col("model") == F.lit(winner)).drop("model_order")
     return Evaluation(marked, fold_scores, winner, importance, model)

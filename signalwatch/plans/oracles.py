@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from signalwatch import constants as C
 from signalwatch.plans import layers
-from signalwatch.plans.catalog import LISTED_CATEGORIES, SERIES_CATEGORY, TABLE_PROFILES
+from signalwatch.plans.catalog import (
+    LISTED_CATEGORIES,
+    SERIES_CATEGORY,
+    STUMP,
+    STUMP_FEATURES,
+    TABLE_PROFILES,
+)
 from signalwatch.sources.retail_tables import DELIVERED_STATUS, NO_CATEGORY
 
 
@@ -450,6 +456,81 @@ _LINE = ("regr_slope(sales_volume, moving_avg_3) AS slope, "
          "regr_intercept(sales_volume, moving_avg_3) AS base")
 _FITTED_R2 = f"1 - sum(({_MISS}) ** 2) / (var_pop(sales_volume) * count(*))"
 
+_L1, _L2 = STUMP.growth.l1, STUMP.growth.l2
+
+
+def _kept(g: str) -> str:
+    """A sum of gradients in units, nearer to 0 by the L1 term."""
+    return f"sign({g} / unit) * greatest(abs({g} / unit) - {_L1}, 0)"
+
+
+def _score(g: str, w: str) -> str:
+    return f"({_kept(g)}) * ({_kept(g)}) / ({w} + {_L2})"
+
+
+# the best single split of the train part of the hold-out and of every fold, by exact sums
+_STUMPS = f""",
+parts AS (
+  SELECT 'holdout' AS part, role, position, sales_volume AS y, {", ".join(STUMP_FEATURES)} FROM split
+  UNION ALL
+  SELECT CAST(fold AS VARCHAR), role, position, sales_volume, {", ".join(STUMP_FEATURES)} FROM folds),
+about AS (
+  SELECT part, CAST(avg(y) AS DOUBLE) AS base,
+         2.0 ** floor(61 - log2(count(*) * greatest(8.0 * (max(y) - min(y)), 1e-9))) AS unit
+  FROM parts WHERE role = 'train' GROUP BY part),
+valued AS (
+  SELECT part, unnest(range({len(STUMP_FEATURES)})) AS f,
+         unnest([{", ".join(f"CAST({f} AS DOUBLE)" for f in STUMP_FEATURES)}]) AS x,
+         CAST(round((base - y) * unit) AS HUGEINT) AS g
+  FROM parts JOIN about USING (part) WHERE role = 'train'),
+cuts AS (
+  SELECT DISTINCT part, f, unnest(quantile_disc(x, [k / {STUMP.bins}.0 for k in range(1, {STUMP.bins})]))
+         AS x
+  FROM valued GROUP BY part, f),
+sums AS (SELECT part, f, x, sum(g) AS g, count(*) AS w FROM valued GROUP BY part, f, x),
+below AS (
+  SELECT part, f, x, sum(g) OVER up - g AS g_left, sum(w) OVER up - w AS w_left,
+         sum(g) OVER (PARTITION BY part, f) AS g, sum(w) OVER (PARTITION BY part, f) AS w
+  FROM sums WINDOW up AS (PARTITION BY part, f ORDER BY x)),
+gains AS (
+  SELECT below.*, base, unit,
+         {_score("g_left", "w_left")} + {_score("(g - g_left)", "(w - w_left)")} - {_score("g", "w")}
+         AS gain
+  FROM below JOIN cuts USING (part, f, x) JOIN about USING (part) WHERE w_left > 0),
+stumps AS (
+  SELECT part, f, x AS cut, gain, base, w_left, w - w_left AS w_right,
+         -({_kept("g_left")}) / (w_left + {_L2}) AS at_left,
+         -({_kept("(g - g_left)")}) / (w - w_left + {_L2}) AS at_right
+  FROM gains QUALIFY row_number() OVER (PARTITION BY part ORDER BY gain DESC, f, x) = 1),
+foretold AS (
+  SELECT parts.part, role, y, base + CASE WHEN CAST([{", ".join(STUMP_FEATURES)}][f + 1] AS DOUBLE) < cut
+                                          THEN at_left ELSE at_right END AS p
+  FROM parts JOIN stumps USING (part)),
+scored AS (
+  SELECT part, role, 1 - sum((y - p) ** 2) / (var_pop(y) * count(*)) AS r2, avg(abs(y - p)) AS mae
+  FROM foretold GROUP BY part, role)
+"""
+_STUMP_NAMES = ", ".join(repr(f) for f in STUMP_FEATURES)
+
+_STUMP_SELECTS = {
+    "stump_comparison":
+        f"SELECT 'stump' AS model, {_r('r2')}, {_r('mae')}, {_r('cv_mean')}, {_r('cv_std')}, "
+        f"{_r('train_r2')}, {_r('train_r2 - r2', 'gap')}, train_r2 - r2 < {C.HEALTHY_GAP} AS healthy, "
+        f"r2 >= {C.TARGET_R2} AS meets_target, true AS winner FROM "
+        "(SELECT max(r2) FILTER (role = 'test') AS r2, max(mae) FILTER (role = 'test') AS mae, "
+        "max(r2) FILTER (role = 'train') AS train_r2 FROM scored WHERE part = 'holdout'), "
+        "(SELECT avg(r2) AS cv_mean, stddev_pop(r2) AS cv_std FROM scored "
+        "WHERE part <> 'holdout' AND role = 'test')",
+    "stump_importance":
+        f"SELECT name AS feature, CASE WHEN name = [{_STUMP_NAMES}][f + 1] THEN 1.0 ELSE 0.0 END "
+        f"AS importance FROM stumps, (SELECT unnest([{_STUMP_NAMES}]) AS name) WHERE part = 'holdout'",
+    "stump_splits":
+        f"SELECT [{_STUMP_NAMES}][f + 1] AS feature, {_r('cut')}, {_r('gain')}, {_r('base')}, "
+        f"{_r('at_left', 'left_value')}, CAST(w_left AS BIGINT) AS left_rows, "
+        f"{_r('at_right', 'right_value')}, CAST(w_right AS BIGINT) AS right_rows "
+        "FROM stumps WHERE part = 'holdout'",
+}
+
 _ORDERED_SELECTS = {
     # a line fitted to the train part of the split, and to that of every fold
     "linear_comparison":
@@ -491,4 +572,6 @@ def oracles() -> dict[str, str]:
     found |= {
         name: f"WITH {_BASE}{_ORDERED}{select}" for name, select in _ORDERED_SELECTS.items()
     }
+    found |= {name: f"WITH {_BASE}{_ORDERED}{_STUMPS}{select}"
+              for name, select in _STUMP_SELECTS.items()}
     return found | layers.SQL

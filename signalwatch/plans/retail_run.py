@@ -129,9 +129,7 @@ def analyse_standalone(warehouse: Warehouse, trends: DataFrame, target: str,
     daily = save(features.daily_features_standalone(
         w["fact_sales"], w["dim_product"], trends, w["category_codes"]
     ), f"{target}/daily_features")
-    chosen = chosen or {
-        "random_forest": models.random_forest_standalone, "boosted_trees": models.boosted_trees,
-    }
+    chosen = chosen or models.default_models_standalone()
     found = models.evaluate(daily, C.FEATURES_STANDALONE, chosen)
     analysed = items_analysed(w["fact_sales"], w["dim_product"])
     return Outcome(

@@ -18,7 +18,8 @@ def duck():
 def test_every_sql_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(SQL) == {"model_comparison", "feature_importance", "run_summary"}
+    assert set(QUERIES) - set(SQL) == {"model_comparison", "feature_importance", "run_summary",
+                                       "regularised_comparison"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
