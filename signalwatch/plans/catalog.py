@@ -13,7 +13,7 @@ from signalwatch.functions.dates import calendar
 from signalwatch.functions.scoring import profile_of
 from signalwatch.operators import alerts, audit, metrics, quality, series, signals, splits
 from signalwatch.operators.copies import all_copies
-from signalwatch.operators.daily import daily_sales, items_analysed
+from signalwatch.operators.daily import daily_from_parts, daily_sales, day_parts, items_analysed
 from signalwatch.operators.keys import check_key, dense_key
 from signalwatch.operators.trees import Growth
 from signalwatch.plans import features, layers, models, reports, star
@@ -25,10 +25,11 @@ from signalwatch.plans.warehouse import (
     build,
     insert_sales,
     with_increments,
+    with_inserts,
 )
 from signalwatch.schemas import CATEGORY, STAGING
 from signalwatch.sources import files, retail_tables
-from signalwatch.storage import fresh_path
+from signalwatch.storage import fresh_path, settle
 from signalwatch.streaming import audit as audit_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,8 +95,8 @@ def _beside(row: DataFrame, *others: DataFrame) -> DataFrame:
 
 def _daily_features(spark: SparkSession, folder: str) -> DataFrame:
     w = warehouse(spark, folder)
-    return features.daily_features(
-        w["fact_sales"], w["dim_product"], w["dim_time"], w["dim_trend"], w["dim_review"],
+    return features.features_of_days(
+        daily_from_parts(w["day_parts"]), w["dim_time"], w["dim_trend"], w["dim_review"],
         w["category_codes"],
     )
 
@@ -107,8 +108,8 @@ def _search_file(w: Warehouse) -> DataFrame:
 
 def _daily_features_standalone(spark: SparkSession, folder: str) -> DataFrame:
     w = warehouse(spark, folder)
-    return features.daily_features_standalone(
-        w["fact_sales"], w["dim_product"], _search_file(w), w["category_codes"]
+    return features.features_of_days_standalone(
+        daily_from_parts(w["day_parts"]), _search_file(w), w["category_codes"]
     )
 
 
@@ -575,6 +576,36 @@ def fact_after_insert(spark, folder):
     return _beside(check_key(fact, "sales_sk"), logged)
 
 
+def _after_insert(spark: SparkSession, folder: str) -> Warehouse:
+    """The star schema when all sales of one category came in by an insert: its codes and sums by day
+    were made without them."""
+    w = warehouse(spark, folder)
+    fact, product = w["fact_sales"], w["dim_product"]
+    place = fresh_path(spark, "insert")
+    late = product.where(F.col(CATEGORY) == SERIES_CATEGORY).select("product_sk")
+    base = fact.join(late, "product_sk", "left_anti").select(*fact.columns)
+    days = settle(day_parts(base, product), "days")
+    loaded = Warehouse(w | {"fact_sales": base, "day_parts": days,
+                            "category_codes": features.category_codes(days)})
+    audit_stream.create_increments(spark, f"{place}/increments")
+    insert_sales(base, fact.join(late, "product_sk", "left_semi").drop("sales_sk"),
+                 f"{place}/increments")
+    return with_inserts(spark, loaded, f"{place}/increments")
+
+
+def daily_sales_after_insert(spark, folder):
+    """Sales by day of the load and of an insert, without a look at the loaded rows."""
+    return shown(daily_from_parts(_after_insert(spark, folder)["day_parts"]))
+
+
+def daily_features_after_insert(spark, folder):
+    """All features after the first sales of a category were inserted."""
+    w = _after_insert(spark, folder)
+    return shown(features.features_of_days(
+        daily_from_parts(w["day_parts"]), w["dim_time"], w["dim_trend"], w["dim_review"],
+        w["category_codes"]))
+
+
 def audit_log_numbers(spark, folder):
     """Whether the log's running numbers are gapless and unique."""
     return check_key(audit.numbered_log(_streamed_log(spark, folder)), "log_id")
@@ -725,6 +756,8 @@ QUERIES: dict[str, Query] = {
     "overfit_gap": overfit_gap,
     "audit_inserts": audit_inserts,
     "fact_after_insert": fact_after_insert,
+    "daily_sales_after_insert": daily_sales_after_insert,
+    "daily_features_after_insert": daily_features_after_insert,
     "audit_stream": audit_log,
     "audit_log_numbers": audit_log_numbers,
     "audit_monitor": audit_monitor,

@@ -49,7 +49,13 @@ def _finished(df: DataFrame, weights: dict[str, float], codes: DataFrame) -> Dat
 def daily_features(fact: DataFrame, product: DataFrame, time: DataFrame, trend: DataFrame,
                    review: DataFrame, codes: DataFrame) -> DataFrame:
     """All features, with search and review signals."""
-    daily = with_signals(daily_sales(fact, product), trend, review)
+    return features_of_days(daily_sales(fact, product), time, trend, review, codes)
+
+
+def features_of_days(sales: DataFrame, time: DataFrame, trend: DataFrame, review: DataFrame,
+                     codes: DataFrame) -> DataFrame:
+    """The same from sales that are added up by category and day already."""
+    daily = with_signals(sales, trend, review)
     dated = daily.join(time.select("time_sk", "month", "quarter"), "time_sk")
     window = series.by_time()
     moved = with_trend(dated).withColumns({
@@ -90,10 +96,15 @@ def daily_features_standalone(fact: DataFrame, product: DataFrame, trends: DataF
     taken before the search file is joined, lags after: a period listed twice in the
     file gives two rows, but does not count as a day of its own in the averages.
     """
+    return features_of_days_standalone(daily_sales(fact, product), trends, codes)
+
+
+def features_of_days_standalone(sales: DataFrame, trends: DataFrame, codes: DataFrame) -> DataFrame:
+    """The same from sales that are added up by category and day already."""
     window = series.by_time("time_sk", "search_volume", COPY)
     search = F.col("search_volume")
     month = period_month(F.col("time_sk"))
-    joined = join_search(with_trend(daily_sales(fact, product)), trends)
+    joined = join_search(with_trend(sales), trends)
     moved = joined.withColumns({
         "search_lead_1": series.previous_or_current(search, window, 1),
         "search_lead_2": series.previous_or_current(search, window, 2),

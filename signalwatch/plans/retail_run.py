@@ -12,10 +12,17 @@ from pyspark.sql import types as T
 from signalwatch import constants as C
 from signalwatch.operators import alerts
 from signalwatch.operators.audit import audit_monitor
-from signalwatch.operators.daily import items_analysed
+from signalwatch.operators.daily import daily_from_parts, items_analysed
 from signalwatch.operators.quality import conform, load_counts, quarantine
 from signalwatch.plans import features, models, reports
-from signalwatch.plans.warehouse import Warehouse, build, insert_sales, reopen, with_increments
+from signalwatch.plans.warehouse import (
+    Warehouse,
+    build,
+    insert_sales,
+    reopen,
+    require_insert_keys,
+    with_inserts,
+)
 from signalwatch.schemas import STAGING
 from signalwatch.sources import files, staging
 from signalwatch.storage import drop, save, together
@@ -44,18 +51,14 @@ def load(spark: SparkSession, folder: str, target: str,
         drop(spark, f"{target}/{old}")
     # later inserts arrive here and are audited; the load above is not
     create_increments(spark, f"{target}/increments")
-    return _whole(spark, warehouse, target)
-
-
-def _whole(spark: SparkSession, warehouse: Warehouse, target: str) -> Warehouse:
-    base = warehouse["fact_sales"]
-    warehouse["fact_sales"] = with_increments(spark, base, f"{target}/increments")
-    return warehouse
+    return with_inserts(spark, warehouse, f"{target}/increments")
 
 
 def reload(spark: SparkSession, target: str) -> Warehouse:
-    """What an earlier load left under ``target``, with all inserts since."""
-    return _whole(spark, reopen(spark, f"{target}/star"), target)
+    """What an earlier load left under ``target``, with all inserts since; fails if these share keys."""
+    base = reopen(spark, f"{target}/star")
+    require_insert_keys(spark, base["fact_sales"], f"{target}/increments")
+    return with_inserts(spark, base, f"{target}/increments")
 
 
 def insert(warehouse: Warehouse, sales: DataFrame, target: str) -> Warehouse:
@@ -92,8 +95,8 @@ def analyse(warehouse: Warehouse, target: str, chosen: dict[str, Callable] | Non
             ) -> Outcome:
     """Features with both signals, models and reports from the star schema alone."""
     w = warehouse
-    daily = save(features.daily_features(
-        w["fact_sales"], w["dim_product"], w["dim_time"], w["dim_trend"], w["dim_review"],
+    daily = save(features.features_of_days(
+        daily_from_parts(w["day_parts"]), w["dim_time"], w["dim_trend"], w["dim_review"],
         w["category_codes"],
     ), f"{target}/daily_features")
     found = models.evaluate(daily, C.FEATURES, chosen)
@@ -126,8 +129,8 @@ def analyse_standalone(warehouse: Warehouse, trends: DataFrame, target: str,
                        chosen: dict[str, Callable] | None = None) -> Outcome:
     """Features, models and reports from the sales and a search file."""
     w = warehouse
-    daily = save(features.daily_features_standalone(
-        w["fact_sales"], w["dim_product"], trends, w["category_codes"]
+    daily = save(features.features_of_days_standalone(
+        daily_from_parts(w["day_parts"]), trends, w["category_codes"]
     ), f"{target}/daily_features")
     chosen = chosen or models.default_models_standalone()
     found = models.evaluate(daily, C.FEATURES_STANDALONE, chosen)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalwatch.constants import DELIVERED
-from signalwatch.operators.daily import daily_sales
+from signalwatch.operators.daily import day_parts
 from signalwatch.operators.keys import (
     check_key,
     dense_key,
@@ -99,9 +99,8 @@ def build(spark: SparkSession, staging: Mapping[str, DataFrame], path: str,
             "dim_review", *star.review_rows(made["staging_reviews"], time)
         ),
     }))
-    made["category_codes"] = stored(
-        "category_codes", category_codes(daily_sales(made["fact_sales"], product))
-    )
+    made["day_parts"] = stored("day_parts", day_parts(made["fact_sales"], product))
+    made["category_codes"] = stored("category_codes", category_codes(made["day_parts"]))
     together(spark, {
         name: lambda name=name, key=key: require_dense_key(made[name], key)
         for name, key in PRIMARY_KEYS.items()
@@ -114,7 +113,7 @@ def reopen(spark: SparkSession, path: str) -> Warehouse:
     """The tables an earlier run built under ``path``; fails if that build did not end."""
     if not exists(spark, f"{path}/{_BUILT}"):
         raise FileNotFoundError(f"no finished star schema under {path}")
-    plain = ["dim_time", "staging_trends", "staging_reviews", "category_codes"]
+    plain = ["dim_time", "staging_trends", "staging_reviews", "day_parts", "category_codes"]
     found = Warehouse({name: spark.read.parquet(f"{path}/{name}") for name in plain})
     for name, key in PRIMARY_KEYS.items():
         if name not in plain:
@@ -133,6 +132,32 @@ def with_increments(spark: SparkSession, base: DataFrame, path: str) -> DataFram
     return base.select(*columns).unionByName(spark.read.schema(FACT_SALES).parquet(path))
 
 
+def with_inserts(spark: SparkSession, loaded: Warehouse, path: str) -> Warehouse:
+    """The tables of a load with all rows inserted since.
+
+    The sums by category and day are those of the load and of the inserted rows; the rows of the load
+    are not added up again. Categories that were first sold by an insert have codes too, so codes may
+    have moved since.
+    """
+    inserted = spark.read.schema(FACT_SALES).parquet(path)
+    found = Warehouse(loaded)
+    found["fact_sales"] = with_increments(spark, loaded["fact_sales"], path)
+    found["day_parts"] = loaded["day_parts"].unionByName(day_parts(inserted, loaded["dim_product"]))
+    if not inserted.isEmpty():
+        found["category_codes"] = category_codes(found["day_parts"])
+    return found
+
+
+def require_insert_keys(spark: SparkSession, base: DataFrame, path: str) -> None:
+    """Fail unless inserted rows have the keys above those of the load, each once.
+
+    Two inserts at a time give the same keys; this finds it. Keys of the load are counted, not read.
+    """
+    key = PRIMARY_KEYS["fact_sales"]
+    inserted = spark.read.schema(FACT_SALES).parquet(path)
+    require_dense_key(inserted.withColumn(key, F.col(key) - F.lit(base.count())), key)
+
+
 def insert_sales(fact: DataFrame, sales: DataFrame, path: str) -> None:
     """Insert fact rows without a key: they get the keys above the greatest of ``fact``.
 
