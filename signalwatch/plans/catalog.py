@@ -16,7 +16,7 @@ from signalwatch.operators.copies import all_copies
 from signalwatch.operators.daily import daily_from_parts, daily_sales, day_parts, items_analysed
 from signalwatch.operators.keys import check_key, dense_key
 from signalwatch.operators.trees import Growth
-from signalwatch.plans import features, layers, models, reports, star
+from signalwatch.plans import features, forecast, layers, models, reports, search, star
 from signalwatch.plans.ensembles import BoostedTrees, forest_standalone
 from signalwatch.plans.warehouse import (
     NATURAL_KEYS,
@@ -57,6 +57,15 @@ STUMP = BoostedTrees(rounds=1, rate=1.0, growth=Growth(depth=1, l1=0.1, l2=1.5),
                      column_share=1.0)
 STUMP_FEATURES = ("lag_1", "moving_avg_3", "month", "quarter", "category_code")
 
+#: Ridge regressions that a search draws from; SQL solves those of one and of two features.
+SEARCH_SPACE = {
+    "features": search.one_of(
+        ("moving_avg_3",), ("lag_1",), ("search_volume",), ("moving_avg_3", "lag_1"),
+        ("lag_1", "search_volume"), ("moving_avg_3", "search_volume")),
+    "strength": search.between(0.01, 100.0),
+}
+SEARCH_DRAWS = 12
+
 _built: dict[tuple[str, str], Warehouse] = {}
 _evaluated: dict[tuple[str, str, str], models.Evaluation] = {}
 
@@ -510,6 +519,26 @@ def regularised_comparison(spark, folder):
     return shown(_evaluation(spark, folder, "regularised").comparison)
 
 
+def search_linear(spark, folder):
+    """A random search of ridge regressions: strength and features."""
+    rows, n_rows = _ordered(spark, folder)
+    tried = search.search_linear(rows, n_rows, search.draw(SEARCH_SPACE, SEARCH_DRAWS))
+    return shown(search.table(spark, tried))
+
+
+def forecast_7(spark, folder):
+    """Sales of the next seven days of each category."""
+    days = daily_from_parts(warehouse(spark, folder)["day_parts"])
+    return shown(forecast.forecast(days, forecast.fit(days)))
+
+
+def moving_average_6(spark, folder):
+    """The wider average: six rows."""
+    days = daily_from_parts(warehouse(spark, folder)["day_parts"])
+    return shown(days.select(CATEGORY, "time_sk", series.moving_average(
+        F.col("sales_volume"), series.by_time(), 6).alias("moving_avg_6")))
+
+
 def model_checks(spark, folder):
     """What holds for the comparison of any models, whatever their scores."""
     found = _evaluation(spark, folder)
@@ -775,6 +804,9 @@ QUERIES: dict[str, Query] = {
     "stump_importance": stump_importance,
     "stump_splits": stump_splits,
     "regularised_comparison": regularised_comparison,
+    "search_linear": search_linear,
+    "forecast_7": forecast_7,
+    "moving_average_6": moving_average_6,
     "model_checks": model_checks,
     "run_volumes": run_volumes,
 } | layers.QUERIES

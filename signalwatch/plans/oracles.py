@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from signalwatch import constants as C
-from signalwatch.plans import layers
+from signalwatch.plans import layers, search
+from signalwatch.plans.forecast import STEPS
 from signalwatch.plans.catalog import (
     LISTED_CATEGORIES,
+    SEARCH_DRAWS,
+    SEARCH_SPACE,
     SERIES_CATEGORY,
     STUMP,
     STUMP_FEATURES,
@@ -566,6 +569,77 @@ _ORDERED_SELECTS = {
 }
 
 
+# least squares on the sales of the row before and the mean of the three before, then step by step
+_FORECAST = f""",
+known AS (
+  SELECT category, time_sk, CAST(sales_volume AS DOUBLE) AS y,
+         CAST(lag(sales_volume) OVER c AS DOUBLE) AS l,
+         avg(sales_volume) OVER (c ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS m
+  FROM daily_b WINDOW c AS (PARTITION BY category ORDER BY time_sk)),
+solved AS (
+  SELECT (cyl * vm - cym * clm) / (vl * vm - clm * clm) AS wl,
+         (cym * vl - cyl * clm) / (vl * vm - clm * clm) AS wm, my, ml, mm
+  FROM (SELECT avg(y) AS my, avg(l) AS ml, avg(m) AS mm, var_pop(l) AS vl, var_pop(m) AS vm,
+               covar_pop(l, m) AS clm, covar_pop(y, l) AS cyl, covar_pop(y, m) AS cym
+        FROM known WHERE l IS NOT NULL)),
+recent AS (
+  SELECT category, max(time_sk) AS last_day, max(y) FILTER (age = 1) AS a,
+         max(y) FILTER (age = 2) AS b, max(y) FILTER (age = 3) AS c
+  FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY time_sk DESC) AS age FROM known)
+  GROUP BY category),
+steps AS (
+  SELECT category, last_day, 0 AS step, a, b, c FROM recent
+  UNION ALL
+  SELECT category, last_day, step + 1,
+         greatest(0.0, my - wl * ml - wm * mm + wl * a
+                       + wm * ((a + coalesce(b, 0) + coalesce(c, 0))
+                               / (1 + CAST(b IS NOT NULL AS INTEGER) + CAST(c IS NOT NULL AS INTEGER)))),
+         a, b
+  FROM steps, solved WHERE step < {STEPS})
+"""
+
+_CANDIDATES = search.draw(SEARCH_SPACE, SEARCH_DRAWS)
+
+
+def _search_sql() -> str:
+    """Every candidate on every fold; the better half of each fold goes on to the next."""
+    names = sorted({n for c in _CANDIDATES for n in c["features"]})
+
+    def value(column: str) -> str:
+        cases = " ".join(f"WHEN '{n}' THEN CAST({n} AS DOUBLE)" for n in names)
+        return f"CASE {column} {cases} ELSE 0.0 END"
+
+    drawn = ", ".join(
+        f"({k}, '{c['features'][0]}', '{c['features'][-1] if len(c['features']) > 1 else ''}', "
+        f"CAST({c['strength']!r} AS DOUBLE))" for k, c in enumerate(_CANDIDATES))
+    sets, left = ["going_0 AS (SELECT k FROM drawn)"], len(_CANDIDATES)
+    for fold in range(1, C.FOLDS):
+        left = -(-left // 2)
+        sets.append(f"going_{fold} AS (SELECT k FROM tried JOIN going_{fold - 1} USING (k) "
+                    f"WHERE fold < {fold} GROUP BY k ORDER BY avg(r2) DESC, k LIMIT {left})")
+    n_folds = " + ".join(f"CAST(k IN (FROM going_{f}) AS INTEGER)" for f in range(C.FOLDS))
+    return f""",
+drawn(k, f1, f2, strength) AS (VALUES {drawn}),
+z AS (SELECT k, strength, fold, role, CAST(sales_volume AS DOUBLE) AS y, {value('f1')} AS x1,
+             {value('f2')} AS x2 FROM folds, drawn),
+moments AS (
+  SELECT k, fold, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) + any_value(strength) AS a,
+         var_pop(x2) + any_value(strength) AS d, covar_pop(x1, x2) AS b, covar_pop(y, x1) AS e,
+         covar_pop(y, x2) AS g
+  FROM z WHERE role = 'train' GROUP BY k, fold),
+weights AS (SELECT *, (e * d - g * b) / (a * d - b * b) AS w1, (g * a - e * b) / (a * d - b * b) AS w2
+            FROM moments),
+tried AS (
+  SELECT k, fold, 1 - sum((y - (my + w1 * (x1 - m1) + w2 * (x2 - m2))) ** 2) / (var_pop(y) * count(*))
+         AS r2
+  FROM z JOIN weights USING (k, fold) WHERE role = 'test' GROUP BY k, fold),
+{", ".join(sets)},
+counted AS (SELECT k, {n_folds} AS n_folds FROM drawn)
+SELECT CAST(k AS BIGINT) AS candidate, CAST(n_folds AS BIGINT) AS n_folds, {_r('avg(r2)', 'r2')},
+       n_folds = {C.FOLDS} AS winner
+FROM counted JOIN tried USING (k) WHERE fold < n_folds GROUP BY k, n_folds"""
+
+
 def oracles() -> dict[str, str]:
     """Query name -> SQL with the same columns and rows."""
     found = {name: f"WITH {_BASE}{select}" for name, select in _SELECTS.items()}
@@ -574,6 +648,14 @@ def oracles() -> dict[str, str]:
     }
     found |= {name: f"WITH {_BASE}{_ORDERED}{_STUMPS}{select}"
               for name, select in _STUMP_SELECTS.items()}
+    found["search_linear"] = f"WITH {_BASE}{_ORDERED}{_search_sql()}"
+    found["forecast_7"] = (
+        f"WITH RECURSIVE {_BASE}{_FORECAST}SELECT {_CATEGORY}, CAST(step AS BIGINT) AS step, "
+        f"last_day + step AS time_sk, {_r('a', 'forecast')} FROM steps WHERE step > 0")
+    found["moving_average_6"] = (
+        f"WITH {_BASE} SELECT {_CATEGORY}, time_sk, "
+        + _r("avg(sales_volume) OVER (PARTITION BY category ORDER BY time_sk "
+             "ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)", "moving_avg_6") + " FROM daily_b")
     # an insert changes nothing but the order in which rows came
     for name in ("daily_sales", "daily_features"):
         found[f"{name}_after_insert"] = found[name]
