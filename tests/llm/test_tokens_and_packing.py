@@ -13,9 +13,7 @@ from signalwatch.llm.tokens import Encoder, default_tokenizer
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(default_tokenizer())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(default_tokenizer())
 
 
 def plain(tokenizer, text):
@@ -30,8 +28,11 @@ def crc(ids):
 def test_ids_are_those_of_whole_texts(tokenizer, remembered):
     rng = random.Random(1)
     marks = " \n\t\x0b\x85\xa0　 \x1c​abZé1½'s,.!日́"
-    texts = ["", None, "<|endoftext|> a", "a  b\n\n c ", sentence(1, 500)] \
+    texts = ["", None, "<|endoftext|> a", "x, <|endoftext|>", "a  <|endoftext|>\n\n'll", "<|endoftext|", "a  b\n\n c ", sentence(1, 500)] \
         + ["".join(rng.choice(marks) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    marks = "  \n'stre09.,!?-(\"\x00\x1f\x7f_^`{~AzÀ×÷øſƀЀҁ҂Ԯ٣²ªǅʰ"
+    texts += ["".join(rng.choice(marks) for _ in range(rng.randrange(30))) for _ in range(6000)]
+    assert plain(tokenizer, "<|endoftext|> a") == [50256, 257, 2]
     found = list(Encoder(default_tokenizer(), remembered).encode_all(texts))
     assert [f.tolist() for f in found] == [plain(tokenizer, t) for t in texts]
 
