@@ -25,6 +25,8 @@ MAY_DIFFER = (9, 13, 16, WINDOW)
 #: Most distinct hashes of the benchmark that are broadcast (8 bytes each); more are joined by a
 #: shuffle of the documents' hashes.
 BROADCAST_HASHES = 4_000_000
+#: Words of a document's blocks at least.
+LEAST_BLOCK = 64
 
 
 def words(text: Column) -> Column:
@@ -84,27 +86,54 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]
         .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct(), "seed-shifts")
 
-    pairs = shifts.join(items, "item_id").join(texts, "doc_id") \
-        .select("doc_id", "item_id", "shift", "item", words(F.col("text")).alias("words"))
+    # a shift meets no more of a document than a block of the least power of two words (and as many
+    # behind it) that holds the item; so a document's shifts are spread over tasks, and its words
+    # are split once
+    block_words = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.size("item"), F.lit(LEAST_BLOCK))))) \
+        .cast("int")
+    placed = shifts.join(items, "item_id").withColumn("block_words", block_words) \
+        .withColumn("block", F.expr("greatest(0, shift) div block_words"))
+    sizes = placed.select("doc_id", "block_words").distinct()
+    blocks = texts.join(sizes.groupBy("doc_id").agg(F.collect_set("block_words").alias("sizes")), "doc_id") \
+        .select("doc_id", "sizes", words(F.col("text")).alias("all")) \
+        .select("doc_id", F.size("all").alias("n_all"), "all", F.explode("sizes").alias("block_words")) \
+        .select("doc_id", "n_all", "block_words", F.posexplode(F.transform(
+            F.expr("sequence(0, greatest(0, n_all - 1) div block_words)"),
+            lambda k: F.slice("all", k * F.col("block_words") + 1, 2 * F.col("block_words"))))
+            .alias("block", "words"))
+    pairs = placed.join(blocks.withColumn("block", F.col("block").cast("long")),
+                        ["doc_id", "block_words", "block"])
     first = F.greatest(F.lit(0), -F.col("shift"))
-    behind = F.least(F.size("item"), F.size("words") - F.col("shift"))
+    behind = F.least(F.size("item"), F.col("n_all") - F.col("shift"))
+    start = F.greatest(F.lit(0), F.col("shift")) - F.col("block") * F.col("block_words")
     width = F.least(F.lit(window), F.size("item"))
     lined_up = pairs.withColumn("first", first).withColumn("n", behind - first) \
         .withColumn("width", width).where("n >= width")
     equal = F.zip_with(F.slice("item", F.col("first") + 1, F.col("n")),
-                       F.slice("words", F.col("shift") + F.col("first") + 1, F.col("n")),
+                       F.slice("words", start.cast("int") + 1, F.col("n")),
                        lambda x, y: F.when(x == y, 1).otherwise(0))
 
     def total(flags: Column) -> Column:
         return F.aggregate(flags, F.lit(0), lambda x, y: x + y)
 
-    best = F.array_max(F.transform(
-        F.sequence(F.lit(1), F.col("n") - F.col("width") + 1),
-        lambda at: total(F.slice("equal", at, F.col("width")))))
+    def best(flags: Column) -> Column:
+        """The equal words of a window that moves along, at most."""
+        def moved(state: Column, k: Column) -> Column:
+            inside = state["inside"] + F.get(flags, k) - F.coalesce(
+                F.get(flags, k - F.col("width")), F.lit(0))
+            return F.struct(inside.alias("inside"), F.when(
+                k + 1 >= F.col("width"), F.greatest(state["most"], inside)).otherwise(0).alias("most"))
+
+        return F.aggregate(F.sequence(F.lit(0), F.col("n") - 1),
+                           F.struct(F.lit(0).alias("inside"), F.lit(0).alias("most")), moved,
+                           lambda state: state["most"])
+
+    # the words are compared once: a function's argument is not worked out anew at each use
+    measured = F.transform(F.array(equal), lambda flags: F.struct(
+        total(flags).alias("n_equal"), best(flags).alias("n_best")))
     return (
-        lined_up.withColumn("equal", equal)
-        .select("doc_id", "item_id", F.size("item").alias("n_words"), "width",
-                total(F.col("equal")).alias("n_equal"), best.alias("n_best"))
+        lined_up.select("doc_id", "item_id", F.size("item").alias("n_words"), "width",
+                        F.inline(measured))
         .where(F.col("n_best") >= needed(F.col("width")))
         .groupBy("doc_id", "item_id")
         .agg(F.max("n_equal").cast("long").alias("n_equal"),

@@ -1,4 +1,5 @@
 import itertools
+import time
 
 from llm.tables import awkward, documents, rows, sentence
 
@@ -86,3 +87,14 @@ def test_without_a_broadcast(spark, monkeypatch):
     monkeypatch.setattr(op, "BROADCAST_HASHES", 0)
     found = op.overlaps(documents(spark, {1: sentence(1)}), items(spark, [(5, sentence(1))]))
     assert rows(found, "doc_id", "item_id", "n_equal", "n_words") == [(1, 5, 40, 40)]
+
+
+def test_long_texts_of_repeated_words(spark):
+    # every shift of such a text is a hit; each meets only a block of it
+    texts = {1: "karen mosti " * 6000, 2: "karen mosti " * 40 + sentence(7, 9000) + " mosti karen" * 5}
+    passages = [(1, "karen mosti " * 12), (2, "mosti karen " * 50), (3, sentence(7, 9000))]
+    begun = time.time()
+    found = op.overlaps(documents(spark, texts), items(spark, passages))
+    assert rows(found, "doc_id", "item_id", "n_best", "n_equal") == [
+        (1, 1, 20, 24), (1, 2, 20, 100), (2, 1, 20, 24), (2, 2, 20, 80), (2, 3, 20, 9000)]
+    assert time.time() - begun < 60
