@@ -18,6 +18,7 @@ and a reader that does not use the key reads neither the places nor the counts.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -68,25 +69,50 @@ def write_keyed(df: DataFrame, path: str, order_by: Sequence[str] | None = None)
     save(_starts(rows), f"{path}/starts")
 
 
-def read_keyed(spark: SparkSession, path: str, key: str,
-               schema: T.StructType | None = None) -> DataFrame:
-    """The rows written by :func:`write_keyed`, led by their dense key ``1..n``.
-
-    Without a ``schema`` the stored one is looked up.
-    """
+def _numbered(spark: SparkSession, path: str, key: str, schema: T.StructType | None,
+              between: tuple[int, int] | None = None) -> DataFrame:
     if schema is None:
         found = spark.read.parquet(f"{path}/rows").schema
         schema = T.StructType([field for field in found.fields if field.name != _PLACE])
     stored = T.StructType([*schema.fields, T.StructField(_PLACE, T.LongType())])
     starts_type = T.StructType([T.StructField(_STARTS, T.ArrayType(T.LongType()))])
     rows = spark.read.schema(stored).parquet(f"{path}/rows")
-    starts = spark.read.schema(starts_type).parquet(f"{path}/starts").scalar()
     place = F.col(_PLACE)
+    if between:
+        rows = rows.where(place.between(*between))
+    starts = spark.read.schema(starts_type).parquet(f"{path}/starts").scalar()
     position = place.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     number = F.get(starts, _task(place)) + position + F.lit(1)
     return rows.select(number.alias(key), *schema.fieldNames())
 
 
+def read_keyed(spark: SparkSession, path: str, key: str,
+               schema: T.StructType | None = None) -> DataFrame:
+    """The rows written by :func:`write_keyed`, led by their dense key ``1..n``.
+
+    Without a ``schema`` the stored one is looked up.
+    """
+    return _numbered(spark, path, key, schema)
+
+
+def read_key_range(spark: SparkSession, path: str, key: str, low: int, high: int,
+                   schema: T.StructType | None = None) -> DataFrame:
+    """The rows with keys from ``low`` to ``high`` (both included) of :func:`write_keyed`.
+
+    Places grow with keys, so the range of keys is a range of places, which are stored: the filter
+    reaches the scan, and files and row groups outside the range are not read.
+    """
+    starts = spark.read.parquet(f"{path}/starts").first()[_STARTS] or []  # one per write task
+
+    def place(number: int) -> int:
+        """Where key ``number`` lies, or would lie behind the last row."""
+        # the last task whose rows start before it; a task that wrote nothing starts where the next does
+        task = max(bisect_left(starts, number) - 1, 0)
+        return (task << _POSITION_BITS) + number - 1 - (starts[task] if starts else 0)
+
+    return _numbered(spark, path, key, schema, (place(max(low, 1)), place(max(high, 0))))
+
+
 def dense_key(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
     """Add a key ``1..n``, in ``order_by`` order (NULLs last) or in any order."""
     path = fresh_path(df.sparkSession, key)

@@ -14,7 +14,8 @@ from signalwatch.functions.scoring import profile_of
 from signalwatch.operators import alerts, audit, metrics, quality, series, signals, splits
 from signalwatch.operators.copies import all_copies
 from signalwatch.operators.daily import daily_from_parts, daily_sales, day_parts, items_analysed
-from signalwatch.operators.keys import check_key, dense_key
+from signalwatch.operators.keys import check_key, dense_key, read_key_range, write_keyed
+from signalwatch.operators.sketches import ERROR_BOUND, day_sketches, distinct_of
 from signalwatch.operators.trees import Growth
 from signalwatch.plans import features, forecast, layers, models, reports, search, star
 from signalwatch.plans.ensembles import BoostedTrees, forest_standalone
@@ -201,6 +202,15 @@ def fact_sales_numbered(spark, folder):
     return shown(dense_key(_sales(spark, folder), "sales_sk", star.SALES_ORDER))
 
 
+def fact_by_key_range(spark, folder):
+    """The second quarter of the keys in the order of all columns, by a filter on stored places."""
+    path = fresh_path(spark, "ordered")
+    rows = _sales(spark, folder)
+    write_keyed(rows, path, star.SALES_ORDER)
+    n = spark.read.parquet(f"{path}/rows").count()
+    return shown(read_key_range(spark, path, "sales_sk", n // 4 + 1, n // 2, rows.schema))
+
+
 def load_counts(spark, folder):
     staged = {
         "staging_orders": retail_tables.orders(spark, folder),
@@ -412,6 +422,22 @@ def data_volume(spark, folder):
     ).select(n_items.alias("rows_analysed"), "categories", "days")
 
 
+def distinct_by_period(spark, folder):
+    """Customers who bought in each month and each year (month 0): the exact number, and whether that
+    from day sketches is as near as it must be."""
+    w = warehouse(spark, folder)
+    dated = w["fact_sales"].join(w["dim_time"].select("time_sk", "year", "month"), "time_sk")
+    sketches = settle(day_sketches(dated, "customer_sk", ["year", "month", "time_sk"]), "sketches")
+    found = distinct_of(sketches, ["year", "month"]).union(
+        distinct_of(sketches, ["year"]).select("year", F.lit(0), "estimate"))
+    exact = dated.groupBy("year", "month").agg(F.count_distinct("customer_sk").alias("customers")).union(
+        dated.groupBy("year").agg(F.count_distinct("customer_sk").alias("n"))
+        .select("year", F.lit(0), "n"))
+    near = F.abs(F.col("estimate") - F.col("customers")) <= ERROR_BOUND * F.col("customers")
+    return shown(exact.join(found, ["year", "month"]).select(
+        "year", "month", "customers", near.alias("near")))
+
+
 # --- validation ---------------------------------------------------------------------------------
 
 
@@ -645,6 +671,27 @@ def audit_monitor(spark, folder):
     return shown(monitor.select("table_name", "operation", "total_operations"))
 
 
+def audit_monitor_stream(spark, folder):
+    """The monitor as a stream, after two increments of the log."""
+    w = warehouse(spark, folder)
+    place = fresh_path(spark, "monitor")
+    for part in (0, 1):
+        append_sales(w["fact_sales"].where(F.col("sales_sk") % 2 == part), f"{place}/increments")
+        audit_stream.run_audit(spark, f"{place}/increments", f"{place}/log", f"{place}/checkpoint")
+        audit_stream.run_monitor(spark, f"{place}/log", f"{place}/monitor", f"{place}/totals")
+    monitor = audit_stream.read_monitor(spark, f"{place}/monitor")
+    return shown(monitor.select("table_name", "operation", "total_operations"))
+
+
+def audit_times(spark, folder):
+    """How many rows were logged, and how many without a time or with one before the insert."""
+    before = spark.sql("SELECT now()").first()[0]
+    log = _streamed_log(spark, folder)
+    return log.agg(F.count("*").alias("n_rows"),
+                   F.count_if(F.col("created_at").isNull()).alias("n_without"),
+                   F.count_if(F.col("created_at") < F.lit(before)).alias("n_early"))
+
+
 # --- sources and sinks ----------------------------------------------------------------------------------
 
 
@@ -742,6 +789,7 @@ QUERIES: dict[str, Query] = {
     "dim_review": dim_review,
     "fact_sales": fact_sales,
     "fact_sales_numbered": fact_sales_numbered,
+    "fact_by_key_range": fact_by_key_range,
     "load_counts": load_counts,
     "key_checks": key_checks,
     "natural_key_checks": natural_key_checks,
@@ -777,6 +825,7 @@ QUERIES: dict[str, Query] = {
     "top_acceleration": top_acceleration,
     "category_series": category_series,
     "data_volume": data_volume,
+    "distinct_by_period": distinct_by_period,
     "holdout_split": holdout_split,
     "ts_folds": ts_folds,
     "fold_metrics": fold_metrics,
@@ -790,6 +839,8 @@ QUERIES: dict[str, Query] = {
     "audit_stream": audit_log,
     "audit_log_numbers": audit_log_numbers,
     "audit_monitor": audit_monitor,
+    "audit_monitor_stream": audit_monitor_stream,
+    "audit_times": audit_times,
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
     "zip_csv_scan": zip_csv_scan,

@@ -656,6 +656,18 @@ def oracles() -> dict[str, str]:
         f"WITH {_BASE} SELECT {_CATEGORY}, time_sk, "
         + _r("avg(sales_volume) OVER (PARTITION BY category ORDER BY time_sk "
              "ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)", "moving_avg_6") + " FROM daily_b")
+    found["audit_monitor_stream"] = found["audit_monitor"]
+    found["audit_times"] = (f"WITH {_BASE} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_without, "
+                            "CAST(0 AS BIGINT) AS n_early FROM fact")
+    found["fact_by_key_range"] = (
+        f"SELECT * FROM ({found['fact_sales_numbered']}) WHERE sales_sk BETWEEN "
+        f"(WITH {_BASE} SELECT count(*) // 4 + 1 FROM fact) AND "
+        f"(WITH {_BASE} SELECT count(*) // 2 FROM fact)")
+    bought = "FROM fact JOIN d_time USING (time_sk) GROUP BY"
+    found["distinct_by_period"] = (
+        f"WITH {_BASE} SELECT year, month, count(DISTINCT customer_sk) AS customers, true AS near "
+        f"{bought} year, month UNION ALL SELECT year, CAST(0 AS BIGINT), count(DISTINCT customer_sk), "
+        f"true {bought} year")
     # an insert changes nothing but the order in which rows came
     for name in ("daily_sales", "daily_features"):
         found[f"{name}_after_insert"] = found[name]

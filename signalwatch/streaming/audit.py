@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from signalwatch.operators.audit import audit_monitor, audit_rows, numbered_log
@@ -62,6 +63,40 @@ def read_numbered_log(spark: SparkSession, log: str) -> DataFrame:
     return numbered_log(read_log(spark, log))
 
 
+def run_monitor(spark: SparkSession, log: str, monitor: str, checkpoint: str) -> None:
+    """Add what was logged since the last run to the stored summary, then stop.
+
+    Totals are kept as the stream's state, so the log is read once. Each batch writes the totals that
+    changed to a folder of its own; a batch that is run again writes the same ones there.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{monitor}/batch={batch_id}")
+
+    totals = spark.readStream.schema(AUDIT_LOG).parquet(log).groupBy("table_name", "operation").agg(
+        F.count("*").alias("total_operations"), F.max("created_at").alias("last_operation"))
+    (
+        totals.writeStream.foreachBatch(write).outputMode("update")
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    )
+
+
+_MONITOR = ("table_name string, operation string, total_operations long, last_operation timestamp, "
+            "batch long")
+
+
+def read_monitor(spark: SparkSession, monitor: str) -> DataFrame:
+    """What :func:`audit_monitor` gives, from the newest totals of each table and operation."""
+    try:
+        stored = spark.read.schema(_MONITOR).parquet(monitor)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = spark.createDataFrame([], _MONITOR)
+    newest = F.max_by(F.struct("total_operations", "last_operation"), "batch").alias("newest")
+    return stored.groupBy("table_name", "operation").agg(newest) \
+        .select("table_name", "operation", "newest.*").orderBy(F.col("last_operation").desc())
+
+
 def register_monitor(spark: SparkSession, log: str, view: str = "audit_monitor") -> None:
     """Create or replace the view that summarises the log."""
     audit_monitor(read_log(spark, log)).createOrReplaceTempView(view)
