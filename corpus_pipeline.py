@@ -44,7 +44,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of what is left, in sequences of 1024 tokens."""
+    """The pieces of what is left, in sequences of 1024 tokens. Documents without a doc_id have got so
+    far, but cannot be named in a sequence: they are not packed."""
     return packing.pack(docs)
 
 
@@ -57,6 +58,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to ``documents``.
+
+    Null and empty texts pass all stages and are packed as the end token alone; a null text stays null
+    up to there. Equal rows stay or go together, and each is packed; of one doc_id with several texts,
+    all go if one of them does. An empty table gives an empty result, as does a table of which no row
+    is left. Other columns are kept up to packing, whatever they are called. Texts are read whole.
+    """
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalwatch import constants as C
-from signalwatch.functions.dates import calendar
+from signalwatch.functions.dates import calendar, iso_text
 from signalwatch.functions.scoring import profile_of
 from signalwatch.operators import alerts, audit, metrics, quality, series, signals, splits
 from signalwatch.operators.copies import all_copies
@@ -29,7 +29,7 @@ from signalwatch.plans.warehouse import (
     with_inserts,
 )
 from signalwatch.schemas import CATEGORY, STAGING
-from signalwatch.sources import files, retail_tables
+from signalwatch.sources import files, retail_tables, staging
 from signalwatch.storage import fresh_path, settle
 from signalwatch.streaming import audit as audit_stream
 
@@ -767,6 +767,24 @@ def staging_conform(spark, folder):
                  .withColumn("seller_id", F.col("seller_id").cast("long")))
 
 
+def staging_append(spark, folder):
+    """All order items as text, appended to a typed staging table in two loads."""
+    path = fresh_path(spark, "append")
+    items = retail_tables.order_items(spark, folder)
+    text = items.select(*[F.col(c).cast("string").alias(c) for c in items.columns])
+    for part in (0, 1):
+        staging.append(text.where(F.col("order_item_id").cast("int") % 2 == part), path, "order_items")
+    stored = spark.read.parquet(path)
+    return shown(stored.select(*[F.col(c).cast("long").alias(c) if c.endswith("_id") else F.col(c)
+                                 for c in stored.columns]))
+
+
+def date_texts(spark, folder):
+    """Every day of the calendar as text."""
+    time = warehouse(spark, folder)["dim_time"]
+    return shown(time.select("time_sk", iso_text(F.col("full_date")).alias("day")))
+
+
 def staging_quarantine(spark, folder):
     """Order items whose price does, and does not, fit NUMERIC(6,2)."""
     items = retail_tables.order_items(spark, folder)
@@ -846,6 +864,8 @@ QUERIES: dict[str, Query] = {
     "zip_csv_scan": zip_csv_scan,
     "csv_malformed": csv_malformed,
     "staging_conform": staging_conform,
+    "staging_append": staging_append,
+    "date_texts": date_texts,
     "staging_quarantine": staging_quarantine,
     "model_comparison": model_comparison,
     "feature_importance": feature_importance,

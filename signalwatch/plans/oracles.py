@@ -448,6 +448,8 @@ _SELECTS = {
         "seller_id % 10 < 2 AS rejected FROM d_seller",
     "zip_csv_scan": f"SELECT {_ITEM} FROM s_items",
     "staging_conform": f"SELECT {_ITEM} FROM s_items",
+    "staging_append": f"SELECT {_ITEM} FROM s_items",
+    "date_texts": "SELECT time_sk, strftime(full_date, '%Y-%m-%d') AS day FROM d_time",
     "staging_quarantine":
         "SELECT order_id, CAST(order_item_id AS BIGINT) AS order_item_id, "
         "CAST(price AS DOUBLE) AS price, "
