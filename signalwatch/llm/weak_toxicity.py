@@ -24,14 +24,15 @@ from signalwatch.llm.common import picked, settle
 
 #: Labelled documents that are learned from, the first by hash of doc_id.
 FIT_DOCUMENTS = 20_000
-#: Documents of the sample that a term must stand in, and the most terms, by evidence.
+#: Documents of the sample that a term must stand in; all such terms are learned from.
 LEAST_SUPPORT = 6
-MOST_TERMS = 20_000
 #: Lengths of word beginnings that are terms, written with a trailing *.
 BEGINNINGS = (4, 5)
 #: A term is dense in a text if it stands there twice, and at least once in so many words.
 DENSE = 125
-LEXICON_TERMS = 240
+#: Evidence that a term of a voter has at least, as a share of the strongest term's: weaker ones are too
+#: often words that just happen to stand in copies of toxic documents.
+VOTER_EVIDENCE = 0.125
 LEXICON_VOTERS = 8
 PATTERN_VOTERS = 4
 THRESHOLD = 0.7
@@ -71,8 +72,9 @@ def _tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                            ).astype({"n": "int64", "toxic": "int64"})
 
 
-def _places(vocabulary: dict[str, int]):
+def _places(sent):
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vocabulary: dict[str, int] = sent.value
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch.doc_id, "terms": [
                 np.sort(np.fromiter((vocabulary[t] for t in vocabulary.keys() & terms_of(text)),
@@ -194,9 +196,10 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     terms = counted.where(F.col("in1") + F.col("in0") >= LEAST_SUPPORT) \
         .withColumn("lift", lift) \
         .withColumn("evidence", F.abs("lift") * F.sqrt(F.col("in1") + F.col("in0"))) \
-        .orderBy(F.desc("evidence"), "term").limit(MOST_TERMS).toPandas()
+        .orderBy(F.desc("evidence"), "term").toPandas()
     vocabulary = {t: k for k, t in enumerate(terms.term)}
-    found = fitting.select("doc_id", "text").mapInPandas(_places(vocabulary),
+    sent = documents.sparkSession.sparkContext.broadcast(vocabulary)
+    found = fitting.select("doc_id", "text").mapInPandas(_places(sent),
                                                          "doc_id long, terms binary").toPandas()
     found["terms"] = found.terms.map(bytes)
     found = found.sort_values(["doc_id", "terms"])
@@ -205,8 +208,9 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     # words and beginnings that hardly ever stand in documents that are not toxic
     sure = terms[(terms.in1 >= LEAST_SUPPORT) & (terms.lift > 0)
                  & (terms.in0 * sizes[1] * 20 <= terms.in1 * sizes[0])]
-    words = sure[~sure.term.str.contains("*", regex=False)].head(LEXICON_TERMS).term.tolist()
-    starts = sure[sure.term.str.contains("*", regex=False)].head(LEXICON_TERMS).term.tolist()
+    sure = sure[sure.evidence >= VOTER_EVIDENCE * sure.evidence.max()]
+    begun = sure.term.str.contains("*", regex=False).to_numpy(bool)
+    words, starts = sure.term[~begun].tolist(), sure.term[begun].tolist()
     voters = [{"kind": "lexicon", "terms": words[k::LEXICON_VOTERS], "vote": 1}
               for k in range(LEXICON_VOTERS)]
     voters += [{"kind": "pattern", "terms": starts[k::PATTERN_VOTERS], "vote": 1}
@@ -242,9 +246,13 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """Return ``doc_id, held_out, score, predicted`` for each document.
 
     Only texts are scored; a null text is an empty one, and an empty one has the score of no terms.
-    Without toxic labels all scores are near 0. Repeated rows give repeated results. Other columns
-    are ignored; rows without a doc_id are left out. An empty table gives an empty result. Texts
-    are read whole, however long.
+    Without toxic labels all scores are near 0; with toxic labels only they are 0.5; without a term that
+    tells the labels apart (so that there is no voter) all have the share of toxic labels. Repeated rows
+    give repeated results. Other columns are ignored; rows without a doc_id are left out. An empty table
+    gives an empty result. Texts are read whole, however long.
+
+    At most ``FIT_DOCUMENTS`` labelled documents are learned from, and all terms that stand in
+    ``LEAST_SUPPORT`` of them.
     """
     model = model or train(documents, labels)
     return picked(documents, doc_id="long", text="string") \
