@@ -96,6 +96,9 @@ def personalised_pagerank(edges: DataFrame, seeds: DataFrame, name: str, damping
 
     Ranks add up to 1; what hosts without links hold goes back to the seeds. Without seeds the
     result is empty. Hosts not listed have rank 0.
+
+    The links of a host meet its rank in a plain join of stored tables, which adaptive execution
+    splits where a host has very many; ranks are added up by target, first in each task.
     """
     out = edges.groupBy("source").agg(F.sum("n").alias("total"))
     shares = settle(edges.join(out, "source").select(
