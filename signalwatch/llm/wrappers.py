@@ -50,8 +50,13 @@ _BLOCKS = _CONTAINERS | {
     "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head",
     "header", "hr", "li", "menu", "nav", "ol", "p", "pre", "summary", "tfoot", "th", "thead", "ul"}
 _DROPPED = _RAW | {"head", "nav", "header", "footer", "aside", "form", "button", "select", "menu",
-                   "dialog", "svg", "canvas", "object", "audio", "video", "fieldset", "label",
-                   "option", "datalist"}
+                   "dialog", "svg", "canvas", "object", "audio", "video", "option", "datalist"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that hold others; only what such an element is called can say that it is no content. A
+#: heading, a paragraph or part of a line is never judged by its name.
+_NAMED = _CONTAINERS - {"tr", "td", "tbody", "main"} | _RAW | {
+    "aside", "center", "details", "dialog", "dl", "fieldset", "figure", "footer", "form", "header",
+    "menu", "nav", "ol", "ul"}
 _ARTICLES = {"article", "main"}
 _CLOSED_BY_ARTICLE = {"nav", "header", "footer", "aside", "form", "menu", "head"}
 # fixed values: what elements that are no content are called
@@ -71,6 +76,7 @@ _PIECE = re.compile(
     r"|(?P<cut><[a-zA-Z/][^>]*\Z)|(?P<text>[^<]+|<)", re.S)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+|\d+")
+_ARTICLE_NODE = re.compile(r":(?:article|main)(?:[. ]|\Z)")
 
 
 @dataclass(slots=True)
@@ -173,7 +179,10 @@ def parse(text: str | None) -> Page:
                 pending.append(" ")
             continue
         first, noise = _names(rest) if rest and "=" in rest else ("", False)
-        dropped = int(tag in _DROPPED or noise and tag not in ("html", "body", "main"))
+        dropped = int(tag in _DROPPED or noise and tag in _NAMED and tag not in ("html", "body"))
+        if tag in _HEADINGS and dropping == 1 and any(t == "header" and d for t, _, d in stack) \
+                and any(t in _ARTICLES for t, _, _ in stack):
+            dropped = -1  # an article's own header keeps its headings
         outermost = tag in _ARTICLES and not dropped and not any(t in _ARTICLES for t, _, _ in stack)
         if tag in _BLOCKS:
             if outermost:  # no article lies in a menu: its end tag is missing
@@ -436,16 +445,18 @@ def wrapper_of(reference: str, stats: dict[int, tuple[int, int, int, int, int]])
     for k in range(len(labels) - 1, 0, -1):
         mass[parents[k]] += mass[k]
     articles = [k for k, label in enumerate(labels) if label.split(".")[0] in _ARTICLES and mass[k]]
-    if articles:
-        return max(articles, key=lambda k: (mass[k], -k)), []
-    at = 0
-    while True:
+    at = max(articles, key=lambda k: (mass[k], -k), default=0)  # where its author says it is
+    while mass[0] and not articles:
         inner = [k for k in kids[at] if mass[k] >= SLOT_SHARE * mass[0]
                  and labels[k].split(".")[0] in _CONTAINERS]
-        if not inner or not mass[0]:
-            return at, sorted((k, stats[k][4]) for k in constant if k > at
-                              and labels[k].split(".")[0] in _CONTAINERS | {"ul", "ol", "li"})
+        if not inner:
+            break
         at = inner[0]
+    behind = at + 1
+    while behind < len(labels) and parents[behind] >= at:
+        behind += 1
+    return at, sorted((k, stats[k][4]) for k in constant if at < k < behind
+                      and labels[k].split(".")[0] in _CONTAINERS | {"ul", "ol", "li"})
 
 
 def _wrap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -493,10 +504,11 @@ def with_host(pages: DataFrame) -> DataFrame:
         host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit("")))
 
 
-def main_text(page: Page, to: dict[int, int], container: int,
-              left_out: set[tuple[int, int]]) -> str:
+def main_text(page: Page, to: dict[int, int], container: int, left_out: set[tuple[int, int]],
+              articles_known: bool = False) -> str:
     """The blocks of the node aligned with the container, or of the page's own articles, or of its
-    whole body, in this order of preference; own articles come first if the container is none.
+    whole body, in this order of preference; own articles come first unless the host's reference has
+    articles too (``articles_known``), so that the container was chosen with regard to them.
 
     ``left_out``: nodes of the reference and hashes; where the texts right in such a node have
     that hash, these are left out, but nothing below the node.
@@ -515,9 +527,8 @@ def main_text(page: Page, to: dict[int, int], container: int,
 
     tops = {a for a, b in to.items() if b == container and container > 0}
     own = {n.number for n in page.nodes if n.article}
-    known = any(page.nodes[a].label.split(".")[0] in _ARTICLES for a in tops)
-    for chosen in (tops, own) if known else (own, tops):
-        found = below(chosen, gone if chosen is not own else set()) if chosen else ""
+    for chosen in (tops, own) if articles_known else (own, tops):
+        found = below(chosen, gone) if chosen else ""
         if found:
             return found
     return "" if own else below({0}, gone)
@@ -531,7 +542,8 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                                         batch.container, batch.left_out):
             page = parse(html)
             texts.append(main_text(page, aligned(page, reference), int(container),
-                                   {(n["node"], n["hash"]) for n in left_out}))
+                                   {(n["node"], n["hash"]) for n in left_out},
+                                   bool(_ARTICLE_NODE.search(reference))))
         yield pd.DataFrame({"page_id": batch.page_id, "url": batch.url, "text": texts,
                             "n_chars": [len(t) for t in texts], "host": batch.host})
 

@@ -144,3 +144,33 @@ def test_simple_tree_matching():
         assert len(pairs) == largest_matching(x, y)
         assert all(x[0][a] == y[0][b] for a, b in pairs.items())
         assert sorted(pairs.values()) == [pairs[a] for a in sorted(pairs)]
+
+
+def test_template_in_articles_is_learned_by_alignment(spark, monkeypatch):
+    rows, expected = [], {}
+    for k in range(12):
+        text = [sentence(k, 4), sentence(k + 50, 30)]
+        rows.append((k, "http://a.net/x", (
+            f"<body><article><h1>{text[0]}</h1><div>Read this story in our app</div><p>{text[1]}</p>"
+            "<div><ul><li>Top stories</li></ul></div></article>")))
+        expected[k] = "\n".join(text)
+    learned = op.wrappers(pages(spark, rows)).collect()
+    assert len(learned) == 1 and len(learned[0].left_out) == 2
+    assert texts(op.extract(pages(spark, rows))) == expected
+    # without an alignment the template stays
+    html = rows[0][2]
+    assert "our app" in op.main_text(op.parse(html), {}, -1, set())
+
+
+def test_names_delete_no_headings_paragraphs_or_parts_of_lines():
+    cases = {
+        '<article><h2 id="related-work">Related work</h2><p id="social-impact">a</p>'
+        '<p class="notice-period">b</p></article>': "Related work\na\nb",
+        '<article><p>a <span class="share">30%</span> share</p><li class="menu">c</li>'
+        '</article>': "a 30% share\nc",
+        "<article><label>l</label><fieldset>f</fieldset></article>": "l\nf",
+        "<main><header><h1>Title</h1><p>by me</p></header><p>x</p></main>": "Title\nx",
+        "<header><h1>Site</h1></header><main><p>x</p></main>": "x",
+        '<article><div class="share">s</div><section id="comments">c</section>x</article>': "x",
+    }
+    assert {h: op.main_text(op.parse(h), {}, 0, set()) for h in cases} == cases
