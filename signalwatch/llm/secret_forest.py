@@ -46,6 +46,10 @@ _VALUE = (_CREDENTIAL.replace("|auth|", "|auth(?!or)|")
           + "[A-Za-z0-9_.-]*[\"'`\\])]*\\s*(?::=|=>|=|:)\\s*"
           + "(\"[^\"\\s]+|'[^'\\s]+|`[^`\\s]+|[^\\s\"'`=:>][^\\s\"'`]*)(?=\\S*$)")
 _ASSIGNS = _VALUE[:_VALUE.index("(\"[^")] + "[\"'`]?"
+# fixed values: published formats of keys that need no name
+_KEY_FORMAT = ("^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}"
+               "|xox[abprs]-[0-9A-Za-z-]{10,}|[rs]k_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35}"
+               "|glpat-[0-9A-Za-z_-]{20,}|npm_[A-Za-z0-9]{36})$")
 _NAME_ENDS = "(?i)[\"']?\\s*(=|:|:=|=>)\\s*[\"'`]?$"
 
 _LOOKS = ("length", "digits", "capitals", "smalls", "others", "digit_turns", "case_turns", "distinct",
@@ -123,8 +127,8 @@ def candidates(documents: DataFrame) -> DataFrame:
 
 
 def featured(found: DataFrame, beginnings: list[str]) -> DataFrame:
-    """Candidates with their features and ``label``: 1 if assigned to a credential's name, 0 if
-    there is no such name and they do not look like a key, else null."""
+    """Candidates with their features and ``label``: 1 if assigned to a credential's name or of a
+    published key format, 0 if there is no such name and they do not look like a key, else null."""
     run, n = F.col("run"), F.length("run")
 
     def share(pattern: str) -> Column:
@@ -156,7 +160,7 @@ def featured(found: DataFrame, beginnings: list[str]) -> DataFrame:
         "plain_before": F.col("one_before").rlike(plain), "plain_after": F.col("after").rlike(plain),
     }
     return found.withColumns({k: v.cast("double") for k, v in features.items()}).withColumn(
-        "label", F.when((F.col("named") == 1) & (F.col("assigned") == 1) & (
+        "label", F.when(run.rlike(_KEY_FORMAT), 1.0).when((F.col("named") == 1) & (F.col("assigned") == 1) & (
             (n >= LEAST_LENGTH) | _mixed(run) & (n >= LEAST_LABELLED)), 1.0)
         .when((F.col("named") == 0) & ~(
             _mixed(run) & (F.col("digit_turns") >= KEY_TURNS)
@@ -191,18 +195,20 @@ def train(found: DataFrame):
 def scan(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Score every candidate: ``doc_id, word_at, run_at, run, score, secret``.
 
-    Null and empty texts have no candidates. Without labelled findings of both kinds every score
-    is 0. Repeated rows give repeated findings; other columns are ignored; rows without a doc_id are
+    Null and empty texts have no candidates. Without labelled findings of both kinds there is no
+    forest: findings labelled as secrets then have score 1, all others 0. A run of a published key
+    format has score 1 in any case. Repeated rows give repeated findings; other columns are ignored; rows without a doc_id are
     left out. An empty table gives an empty result. Texts are read whole, however long.
     """
     found = settle(featured(settle(candidates(documents), "secret-candidates"),
                             dictionary(documents)), "secret-features")
     forest = train(found)
     if forest is None:
-        scored = found.withColumn("score", F.lit(0.0))
+        scored = found.withColumn("score", F.coalesce("label", F.lit(0.0)))
     else:
         scored = forest.transform(_vectors(found)) \
-            .withColumn("score", vector_to_array("probability")[1])
+            .withColumn("score", F.when(F.col("run").rlike(_KEY_FORMAT), 1.0)
+                        .otherwise(vector_to_array("probability")[1]))
     return scored.select("doc_id", "word_at", "run_at", "run", "score",
                          (F.col("score") >= threshold).alias("secret"))
 

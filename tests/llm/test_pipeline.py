@@ -110,6 +110,11 @@ def test_awkward_rows_go_through(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = settle(stage(spark, docs, DATA), name)
     assert {r.doc_id for r in docs.collect()} == {1, 2, 3, None, 5}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
+    pieces = sorted((r.doc_id, r.piece, r.length) for r in packed.collect())
+    assert {i for i, *_ in pieces} == {1, 2, 3, 5}  # one without a doc_id cannot be named
+    assert [p for p in pieces if p[0] < 3] == [(1, 0, 1), (2, 0, 1)]
+    assert len([p for p in pieces if p[0] == 3]) == 2
     none = documents(spark, rows).where("doc_id > 99")
     for name, stage in corpus_pipeline.STAGES:
         none = settle(stage(spark, none, DATA), name)
