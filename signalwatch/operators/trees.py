@@ -124,9 +124,38 @@ def best_splits(rows: DataFrame, growth: Growth, unit: float) -> DataFrame:
         .select("tree", "node", "g", "w", "best.*")
 
 
+def _constant(numbers: Sequence[float], kind: str = "int") -> Column:
+    """Many numbers as one constant array."""
+    return F.split(F.lit(",".join(map(repr, numbers))), ",").cast(f"array<{kind}>")
+
+
+def _arrived(trees: dict[int, Tree], tree: Column, depth: int) -> tuple[Column, list[tuple[int, int]]]:
+    """Where rows with ``bins`` are after ``depth`` splits, as a place in a list of all nodes, and that
+    list of tree and number. Splits are constants of the plan: a few numbers for each node."""
+    order = [(k, number) for k in sorted(trees) for number in sorted(trees[k])]
+    place = {key: at for at, key in enumerate(order)}
+    nodes = [trees[k][number] for k, number in order]
+    feature, last = _constant([n.feature for n in nodes]), _constant([n.bin for n in nodes])
+    # the right part comes right behind the left one
+    left = _constant([place.get((k, 2 * number), -1) for k, number in order])
+    roots = _constant([place.get((k, 1), -1) for k in range(max(trees) + 1)])
+
+    def down(at: Column, _: Column) -> Column:
+        f = F.get(feature, at)
+        return F.when(f < 0, at).otherwise(
+            F.get(left, at) + (F.get("bins", f) > F.get(last, at)).cast("int"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.get(roots, tree), down), order
+
+
+def value_by_bins(tree: Tree, depth: int) -> Column:
+    """What a tree predicts for a row with ``bins``."""
+    at, order = _arrived({0: tree}, F.lit(0), depth)
+    return F.get(_constant([tree[number].value for _, number in order], "double"), at)
+
+
 def grow(rows: DataFrame, growth: Growth, unit: float) -> dict[int, Tree]:
     """Trees by number from ``rows``: ``tree, bins, g, w``; ``g`` is a whole number of ``1 / unit``."""
-    spark = rows.sparkSession
     trees: dict[int, Tree] = {}
 
     def leaf(g: int, w: int) -> Node:
@@ -134,28 +163,24 @@ def grow(rows: DataFrame, growth: Growth, unit: float) -> dict[int, Tree]:
         kept = math.copysign(max(abs(g) - growth.l1, 0.0), g)
         return Node(-kept / (w + growth.l2), w)
 
-    placed = rows.withColumn("node", F.lit(1))
     for level in range(growth.depth):
-        here = placed.where(F.col("node") >= 1 << level)  # others are in leaves
-        splits = []
+        node = F.lit(1)
+        if level:
+            at, order = _arrived(trees, F.col("tree"), level)
+            node = F.get(_constant([number for _, number in order]), at)
+        here = rows.withColumn("node", node).where(F.col("node") >= 1 << level)  # others are in leaves
+        any_split = False
         for r in best_splits(here, growth, unit).collect():  # one row for each node
             tree = trees.setdefault(r["tree"], {})
             node = tree.setdefault(r["node"], leaf(r["g"], r["w"]))
             if r["feature"] is None:
                 continue
+            any_split = True
             node.feature, node.bin, node.gain = r["feature"], r["bin"], r["gain"]
             tree[2 * r["node"]] = leaf(r["g_left"], r["w_left"])
             tree[2 * r["node"] + 1] = leaf(r["g"] - r["g_left"], r["w"] - r["w_left"])
-            splits.append((r["tree"], r["node"], r["feature"], r["bin"]))
-        if not splits:
+        if not any_split:
             break
-        tree, node, feature, last = map(list, zip(*splits))
-        table = _table(spark, tree=pa.array(tree, pa.int32()), node=pa.array(node, pa.int32()),
-                       feature=pa.array(feature, pa.int32()), last=pa.array(last, pa.int32()))
-        placed = placed.join(table, ["tree", "node"], "left").withColumn(
-            "node", F.when(F.col("feature").isNotNull(), 2 * F.col("node")
-                           + (F.get("bins", "feature") > F.col("last")).cast("int"))
-            .otherwise(F.col("node"))).drop("feature", "last")
     return trees
 
 

@@ -111,11 +111,9 @@ class BoostedTrees:
             trees.append(found)
             if number + 1 < self.rounds:
                 # each round's rows are written, so that a plan never holds more than one tree
-                by_bin = T.predicted(rows, [T.packed(found, [range(self.bins + 1)] * len(cuts))],
-                                     self.growth.depth, F.transform("bins", lambda b: b - 0.5), "_step")
+                step = self.rate * T.value_by_bins(found, self.growth.depth)
                 before, path = path, fresh_path(spark, "boosted")
-                rows = save(by_bin.withColumn(
-                    "residual", F.col("residual") + self.rate * F.col("_step")).drop("_step"), path)
+                rows = save(rows.withColumn("residual", F.col("residual") + step), path)
                 drop(spark, before)
         drop(spark, path)
         return Fitted(about.mean, self.rate, tuple(trees), tuple(map(tuple, cuts)), self.growth.depth,
