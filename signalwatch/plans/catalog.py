@@ -220,7 +220,8 @@ def load_counts(spark, folder):
         "staging_sellers": retail_tables.sellers(spark, folder),
     }
     w = warehouse(spark, folder)
-    stored = {name: df for name, df in w.items() if name != "category_codes"}
+    derived = ("category_codes", "day_parts")
+    stored = {name: df for name, df in w.items() if name not in derived}
     return quality.load_counts({**staged, **stored})
 
 
