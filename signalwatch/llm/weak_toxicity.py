@@ -24,8 +24,9 @@ from signalwatch.llm.common import picked, settle
 
 #: Labelled documents that are learned from, the first by hash of doc_id.
 FIT_DOCUMENTS = 20_000
-#: Documents of the sample that a term must stand in; all such terms are learned from.
-LEAST_SUPPORT = 6
+#: Documents of the sample that a term must stand in, and its least evidence: how far its shares of the
+#: two labels' documents are apart, in about standard errors. Below, it stands in both alike.
+LEAST_SUPPORT, LEAST_EVIDENCE = 6, 3.0
 #: Lengths of word beginnings that are terms, written with a trailing *.
 BEGINNINGS = (4, 5)
 #: A term is dense in a text if it stands there twice, and at least once in so many words.
@@ -196,6 +197,7 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     terms = counted.where(F.col("in1") + F.col("in0") >= LEAST_SUPPORT) \
         .withColumn("lift", lift) \
         .withColumn("evidence", F.abs("lift") * F.sqrt(F.col("in1") + F.col("in0"))) \
+        .where(F.col("evidence") >= LEAST_EVIDENCE) \
         .orderBy(F.desc("evidence"), "term").toPandas()
     vocabulary = {t: k for k, t in enumerate(terms.term)}
     sent = documents.sparkSession.sparkContext.broadcast(vocabulary)
@@ -252,7 +254,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     gives an empty result. Texts are read whole, however long.
 
     At most ``FIT_DOCUMENTS`` labelled documents are learned from, and all terms that stand in
-    ``LEAST_SUPPORT`` of them.
+    ``LEAST_SUPPORT`` of them and not alike in both labels' documents.
     """
     model = model or train(documents, labels)
     return picked(documents, doc_id="long", text="string") \
